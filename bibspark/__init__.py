@@ -1,3 +1,11 @@
 """bibspark: bibliographic text analytics as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel with the job, so executors do not
+# need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
