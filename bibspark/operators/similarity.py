@@ -11,13 +11,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.feature import ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector, Vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
-from ..functions.tokens import ngram_range
+from ..functions.tokens import keep_if, ngram_range
 from .tfidf import indices, total, values
 
 _SLACK = 1e-9  # rounding allowance of the pruning bounds
@@ -306,3 +306,9 @@ def blocked_pairs(
 
     kind = docs.schema[id_col].dataType.simpleString()
     return weighted.groupBy("block").applyInPandas(product, f"block long, i {kind}, j {kind}, sim double")
+
+
+def unit_features(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Vectors scaled to unit length, so that products are cosines; zero vectors are left out."""
+    unit = Normalizer(p=2.0, inputCol="features", outputCol="_u").transform(vectors)
+    return unit.select(id_col, keep_if(F.col("_u"), lambda u: F.exists(values(u), lambda x: x != 0)).alias("features"))

@@ -10,8 +10,17 @@ TYPES = [
 ]
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a table that has fewer scan partitions than the session has cores.
+
+    A small file is one row group, hence one task; a large table stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
 
 
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
