@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.tokens import keep_if
+from ..session import materialize
 from ..sources.taxonomy import TAXONOMY, Taxonomy
 
 
@@ -117,15 +119,15 @@ def cooccurrence_graph(
             flat.setdefault(term, []).extend(patterns)
     found = F.array_sort(term_hits(F.col(text_col), {"": flat})["term"])
     sets = (
-        docs.select(found.alias("terms"))
-        .filter(F.size("terms") > 1)
+        docs.select(keep_if(found, lambda t: F.size(t) > 1).alias("terms"))
         .groupBy("terms")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     firsts = sets.select("n", "terms", F.posexplode("terms").alias("i", "a"))
     pairs = firsts.select("n", "a", F.explode(F.slice("terms", F.col("i") + 2, F.size("terms"))).alias("b"))
     factor = {"double": 2, "docs": 1}[weight]
-    edges = pairs.groupBy("a", "b").agg((F.sum("n") * factor).alias("weight"))
+    # at most one row per pair of taxonomy terms; stored, as nodes and charts read it again
+    edges = materialize(pairs.groupBy("a", "b").agg((F.sum("n") * factor).alias("weight")), "edges")
     nodes = edges.select(F.col("a").alias("term")).union(edges.select("b")).distinct()
     return nodes, edges
 

@@ -21,7 +21,7 @@ from ..functions.tokens import keep_if, ngram_range
 from .tfidf import indices, total, values
 
 _SLACK = 1e-9  # rounding allowance of the pruning bounds
-REST = 0.7  # largest length of the part behind a prefix, relative to the threshold
+REST = 0.85  # largest length of the part behind a prefix, relative to the threshold
 BLOCK_ROWS = 4096  # rows of a hot term that meet in one join group
 
 

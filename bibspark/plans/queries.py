@@ -19,7 +19,7 @@ from .pubview import documents, publications, spread
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-MIN_SIM = 0.6
+MIN_SIM = 0.8
 DENSE_SIM = 0.4
 
 
@@ -425,23 +425,23 @@ def cluster_single_cut(spark, sf):
 
 @_query
 def agglomerate_average(spark, sf):
-    return linkage.agglomerate(_vectors(spark, sf), "average", 0.4)[0].withColumnRenamed("id", "doc_id")
+    return linkage.agglomerate(_vectors(spark, sf), "average", 0.2)[0].withColumnRenamed("id", "doc_id")
 
 
 @_query
 def agglomerate_complete(spark, sf):
-    return linkage.agglomerate(_vectors(spark, sf), "complete", 0.4)[0].withColumnRenamed("id", "doc_id")
+    return linkage.agglomerate(_vectors(spark, sf), "complete", 0.2)[0].withColumnRenamed("id", "doc_id")
 
 
 @_query
 def agglomerate_ward(spark, sf):
-    return linkage.agglomerate(_vectors(spark, sf), "ward", 0.4)[0].withColumnRenamed("id", "doc_id")
+    return linkage.agglomerate(_vectors(spark, sf), "ward", 0.2)[0].withColumnRenamed("id", "doc_id")
 
 
 @_query
 def linkage_average(spark, sf):
     """Merges of the whole corpus up to the cut."""
-    merges = linkage.agglomerate(_vectors(spark, sf), "average", 0.4)[1]
+    merges = linkage.agglomerate(_vectors(spark, sf), "average", 0.2)[1]
     return merges.withColumn("height", _r("height"))
 
 
@@ -560,7 +560,7 @@ def records_ieee(spark, sf):
     html = (
         '<div class="List-results-items"><h3><a class="fw-bold" href="/document/1/">%s</a></h3>'
         '<p class="author text-base-md-lh">%s<br>last</p><div class="description"><a xplhighlight>%s</a>'
-        '<div class="publisher-info-container"><span xplhighlight>Year: %s</span><span xplhighlight>%s</span>'
+        '<div class="publisher-info-container"><span xplhighlight>Year: %s</span> | <span xplhighlight>%s</span>'
         '<button xplhighlight><span class="title">Publisher:</span><span>%s</span></button></div></div>'
         '<div class="twist-container">%s</div></div><div class="List-results-items"><b>no link</b></div>'
     )
