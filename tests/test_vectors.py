@@ -148,3 +148,10 @@ def test_svd_scores_match_the_similarity_matrix(spark, vectors):
     got = {r.doc_id: r.features.toArray() for r in dense.svd_scores(vectors, 4).collect()}
     ours = np.array([got[i] for i in range(len(m))])
     assert np.allclose(np.abs(ours), np.abs(u[:, :4] * s[:4]), atol=1e-6)
+
+
+def test_documents_without_common_terms_join_in_id_order(spark):
+    rows = [(i, Vectors.sparse(9, [(i, 1.0)])) for i in range(9)]
+    labels, merges = linkage.agglomerate_k(spark.createDataFrame(rows, ["doc_id", "features"]), "average", 4)
+    assert {r.id: r.cluster for r in labels.collect()} == {i: 0 if i < 6 else i for i in range(9)}
+    assert {r.height for r in merges.collect()} == {1.0}
