@@ -45,30 +45,22 @@ class Vocabulary:
         return [math.log((1 + self.n) / (1 + d)) + 1 for d in self.df]
 
 
-def gram_counts(docs: DataFrame, n: int) -> DataFrame:
+def gram_counts(docs: DataFrame, n: int, parts: DataFrame | None = None) -> DataFrame:
     """``term, df, cf`` of the n-grams of one order, in a single aggregation.
 
     The n-grams of a row are sorted, so the first of each run stands for the
-    document and no (document, term) exchange is needed.
+    document and no (document, term) exchange is needed. With ``parts`` only
+    n-grams whose first and last (n-1)-gram are listed there are counted.
     """
     rows = docs.select(F.sort_array(ngrams(F.col("tokens"), n)).alias("g"))
     marked = F.transform(
         "g", lambda g, i: F.struct(g.alias("term"), ((i == 0) | (g != F.get("g", i - 1))).cast("int").alias("first"))
     )
-    return rows.select(F.inline(marked)).groupBy("term").agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("cf"))
-
-
-def _with_known_parts(docs: DataFrame, n: int, parts: DataFrame) -> DataFrame:
-    """:func:`gram_counts` of the n-grams whose first and last (n-1)-gram are in ``parts``."""
-    rows = docs.select(F.sort_array(ngrams(F.col("tokens"), n)).alias("g"))
-    marked = F.transform(
-        "g", lambda g, i: F.struct(g.alias("term"), ((i == 0) | (g != F.get("g", i - 1))).cast("int").alias("first"))
-    )
     grams = rows.select(F.inline(marked))
-    head = F.substring_index("term", " ", n - 1)
-    tail = F.substring_index("term", " ", 1 - n)
-    for part in (head, tail):
-        grams = grams.withColumn("part", part).join(parts.select(F.col("term").alias("part")), "part", "left_semi")
+    if parts is not None:
+        known = parts.select(F.col("term").alias("part"))
+        for part in (F.substring_index("term", " ", n - 1), F.substring_index("term", " ", 1 - n)):
+            grams = grams.withColumn("part", part).join(known, "part", "left_semi")
     return grams.groupBy("term").agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
@@ -91,11 +83,9 @@ def vocabulary(
     top_df = max_df * stats["n"]
     fits = (F.col("df") >= min_df) & (F.col("df") <= top_df)
     eligible: list[DataFrame] = []
-    parts = None
+    parts, bound = None, 0
     for order in range(1, high + 1):
-        counted = gram_counts(docs, order) if parts is None else _with_known_parts(docs, order, parts)
-        if order < low:
-            bound = 0
+        counted = gram_counts(docs, order, parts)
         counted = materialize(counted.filter(F.col("df") >= min_df), f"grams{order}")
         if order >= low:
             eligible.append(counted.filter(fits))
