@@ -206,7 +206,9 @@ def _member_links(compared: DataFrame, parts: DataFrame, salt: int = MEMBERS) ->
     rows = rows.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("n") / salt)))
     right = rows.select("lead", "member", "n_member", "diff", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("open_block"), F.col("block").alias("member_block"), F.lit(False).alias("open_side"))
     left = rows.where("open").select("lead", "member", "n_member", "diff", "component", F.col("block").alias("open_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("member_block"), F.lit(True).alias("open_side"))
-    return left.union(right).groupBy("lead", "open_block", "member_block").applyInPandas(_block_links, "a long, b long").distinct()
+    # rows are dealt by lead here; deal them by block pair, or all blocks of a large lead would meet in one task
+    blocks = left.union(right).repartition("lead", "open_block", "member_block")
+    return blocks.groupBy("lead", "open_block", "member_block").applyInPandas(_block_links, "a long, b long").distinct()
 
 
 def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
