@@ -91,8 +91,10 @@ class Merges:
             sym, seg, rank = sym[keep], seg[keep], rank[keep]
             hit = place[hit]
             # pairs that touch a new symbol get their rank anew
-            touched = np.unique(np.concatenate((hit, hit - 1)))
-            touched = touched[touched >= 0]
+            near = np.zeros(len(sym), bool)
+            near[hit] = True
+            near[hit[hit > 0] - 1] = True
+            touched = np.flatnonzero(near)
             rank[touched] = _NONE
             touched = touched[touched + 1 < len(sym)]
             touched = touched[seg[touched] == seg[touched + 1]]
