@@ -141,7 +141,8 @@ def _compare(pairs: DataFrame) -> DataFrame:
     """Add to pairs with both sets the difference from the lead: ``lead, member, n_lead, n_member, diff binary``."""
 
     def subtract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, at in ((b, i) for b in batches for i in range(0, b.num_rows, MEMBERS)):
+            batch = whole.slice(at, MEMBERS)
             leads, members = (batch.column(c).to_pylist() for c in ("lead_elements", "elements"))
             n_lead, n_member, diff = [], [], []
             for a, b in zip(leads, members):

@@ -26,7 +26,7 @@ VOCABULARY = "word_bpe_49k.json"
 END = 2
 LENGTH = 4096
 #: Words whose ids a Python worker keeps; beyond that it starts anew.
-CACHE = 800_000
+CACHE = 500_000
 #: The pre-token pattern of the vocabulary's file; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _loaded: dict[str, _Encoder] = {}
