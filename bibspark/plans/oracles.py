@@ -32,7 +32,7 @@ def _fold(col: str) -> str:
 
 
 PUBS = f"""pubs AS (
-  SELECT doc_id, left(text, 60) AS title,
+  SELECT doc_id, text AS title,
     CASE WHEN doc_id % 10 = 0 THEN 'View all'
          ELSE {_word(1)} || ' ' || {_word(2)} || ' and ' || {_word(4)} || ', ' || {_word(3)} END AS author,
     CASE WHEN doc_id % 17 = 0 THEN 'n.d.' ELSE 'c. ' || (2000 + doc_id % 25) END AS year,

@@ -34,7 +34,7 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return docs.select(
         F.col("doc_id"),
-        F.substring("text", 1, 60).alias("title"),
+        F.col("text").alias("title"),
         author.alias("author"),
         year.alias("year"),
         F.concat(F.lit("journal-of "), "lang", F.lit(" "), "source").alias("journal"),
