@@ -7,7 +7,7 @@ task and every run; they depend on the bytes only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,10 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         at = stop
 
 
+#: Called to drop what a Python worker keeps of another operator's words; workers outlive their stage.
+RELEASE: list[Callable[[], None]] = []
+
+
 class Words:
     """Words of the texts of one Arrow array.
 
@@ -78,6 +82,8 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, letters: np.ndarray = PLAIN, lower: bool = False):
+        while RELEASE:
+            RELEASE.pop()()
         texts = texts.cast(pa.large_string()).fill_null("")
         _, offsets, data = texts.buffers()
         at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]

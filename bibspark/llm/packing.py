@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .arrays import chunks, ragged_ranges
+from .arrays import RELEASE, chunks, ragged_ranges
 from .merges import Merges
 from .shared import Stages
 
@@ -109,6 +109,7 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of each text without special tokens added."""
     if path not in _loaded:
         _loaded[path] = _Encoder(path)
+        RELEASE.append(_loaded.clear)
     return _loaded[path].encode(texts)
 
 

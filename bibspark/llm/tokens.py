@@ -10,7 +10,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import chunks
+from .arrays import RELEASE, chunks
 from .merges import Merges
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -23,6 +23,7 @@ _loaded: dict[str, tuple[Merges, dict[str, int]]] = {}
 def _load(path: str) -> tuple[Merges, dict[str, int]]:
     if path not in _loaded:
         _loaded[path] = (Merges(path), {})
+        RELEASE.append(_loaded.clear)
     return _loaded[path]
 
 
