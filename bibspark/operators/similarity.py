@@ -233,16 +233,17 @@ def corpus_similarity(vectors: DataFrame, n: int | None = None, include_self: bo
 
 
 def heatmap_table(vectors: DataFrame, ids: list, id_col: str = "doc_id") -> DataFrame:
-    """Similarities ``i, j, sim`` (both orders and self) among a short list of documents."""
+    """Similarities ``i, j, sim`` (both orders and self) among a short list of documents; 0 without a common term."""
     chosen = vectors.filter(F.col(id_col).isin(list(ids)))
     rows = unit_arrays(chosen, id_col)
     left = rows.select(F.col("id").alias("i"), F.explode(F.arrays_zip("idx", "val")).alias("e"))
     right = rows.select(F.col("id").alias("j"), F.explode(F.arrays_zip("idx", "val")).alias("f"))
-    return (
-        left.join(right, F.col("e.idx") == F.col("f.idx"))
-        .groupBy("i", "j")
-        .agg(F.sum(F.col("e.val") * F.col("f.val")).alias("sim"))
-    )
+    products = left.join(right, F.col("e.idx") == F.col("f.idx")).select("i", "j", (F.col("e.val") * F.col("f.val")).alias("sim"))
+    # a zero for each cell of the wanted square
+    others = F.array(*[F.lit(i) for i in ids])
+    cells = rows.select(F.col("id").alias("i"), F.explode(others).alias("j"), F.lit(0.0).alias("sim"))
+    cells = cells.join(rows.select(F.col("id").alias("j")), "j", "left_semi").select("i", "j", "sim")
+    return products.union(cells).groupBy("i", "j").agg(F.sum("sim").alias("sim"))
 
 
 def phrase_pairs(

@@ -20,11 +20,12 @@ def title_key() -> Column:
 
 
 def with_source_rank(df: DataFrame, source_order: list[str]) -> DataFrame:
-    """Add ``src_rank`` from an explicit source list; other sources are left out."""
+    """Add ``src_rank`` from an explicit source list; all other sources follow it with one common rank."""
     ranks = df.sparkSession.createDataFrame(
         list(zip(source_order, range(len(source_order)))), "source_file string, src_rank int"
     )
-    return df.drop("src_rank").join(F.broadcast(ranks), "source_file")
+    ranked = df.drop("src_rank").join(F.broadcast(ranks), "source_file", "left")
+    return ranked.withColumn("src_rank", F.coalesce("src_rank", F.lit(len(source_order))))
 
 
 def without_title(df: DataFrame) -> DataFrame:

@@ -159,18 +159,22 @@ SELECT key, (rn - 1) // 100 AS piece, CAST(ceil(total / 100) AS BIGINT) AS n_pie
 FROM sized WHERE total > 1 GROUP BY 1, 2, 3"""
 ORACLES["source_order"] = f"""WITH {PUBS}, ranked AS (
   SELECT lower(trim(title, {_BLANKS})) AS key, doc_id,
-    list_position(['src7', 'src3', 'src11'], source_file) - 1 AS src_rank
-  FROM pubs WHERE source_file IN ('src7', 'src3', 'src11'))
+    CAST(coalesce(list_position(['src7', 'src3', 'src11'], source_file) - 1, 3) AS INTEGER) AS src_rank
+  FROM pubs)
 SELECT key, doc_id, src_rank FROM ranked
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY src_rank, doc_id) = 1"""
 
 _FIELDS = ", ".join(f"{_fold(f)} AS {f}" for f in DEFAULTS)
 ORACLES["bib_roundtrip"] = f"WITH {PUBS} SELECT 'ref' || doc_id AS id, {_FIELDS} FROM pubs"
 ORACLES["bib_roundtrip_drop"] = ORACLES["bib_roundtrip"] + " WHERE NOT contains(abstract, '@')"
+
+
+def _one_line(col: str) -> str:
+    return rf"trim(trim(trim(trim(regexp_replace({col}, '[ \t\n\r]+', ' ', 'g')), ','), '{{}}'), ',')"
+
+
 ORACLES["bib_line_mode"] = rf"""WITH {PUBS}
-SELECT 'ref' || doc_id AS id,
-  trim(trim(trim(trim(regexp_replace(title, '[ \t\n\r]+', ' ', 'g')), ','), '{{}}'), ',') AS title,
-  year, journal, tipo, url FROM pubs"""
+SELECT 'ref' || doc_id AS id, {", ".join(f"{_one_line(f)} AS {f}" for f in DEFAULTS)} FROM pubs"""
 
 # --- keywords ---------------------------------------------------------------------------------
 
@@ -293,7 +297,9 @@ SELECT count(*) AS n, round(sum(score), 4) AS total, round(100 * sum(score) / (c
 FROM scores"""
 ORACLES["heatmap_table"] = f"""WITH {WEIGHTS}, ids AS (SELECT DISTINCT doc_id FROM weights ORDER BY 1 LIMIT 20),
 h AS (SELECT * FROM weights WHERE doc_id IN (SELECT doc_id FROM ids))
-SELECT a.doc_id AS i, b.doc_id AS j, round(sum(a.w * b.w), 6) AS sim FROM h a JOIN h b ON a.term = b.term GROUP BY 1, 2"""
+SELECT i.doc_id AS i, j.doc_id AS j, coalesce(round(sum(a.w * b.w), 6), 0) AS sim
+FROM ids i CROSS JOIN ids j LEFT JOIN h a ON a.doc_id = i.doc_id LEFT JOIN h b ON b.doc_id = j.doc_id AND a.term = b.term
+GROUP BY 1, 2"""
 ORACLES["phrase_pairs"] = f"""WITH {WEIGHTS}, p AS (
   SELECT a.doc_id AS i, b.doc_id AS j, sum(a.w * b.w) AS sim
   FROM weights a JOIN weights b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING sum(a.w * b.w) >= 0.8),

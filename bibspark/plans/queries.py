@@ -160,7 +160,7 @@ def duplicate_files(spark, sf):
 
 @_query
 def source_order(spark, sf):
-    """Unification of three sources in an order of their own."""
+    """Unification with three sources first, in an order of their own, and the others behind them."""
     pubs = unify.with_source_rank(publications(spark, sf), ["src7", "src3", "src11"])
     return unify.unify(pubs).select("key", "doc_id", "src_rank")
 
@@ -189,10 +189,10 @@ def bib_line_mode(spark, sf):
     """Line reader over written records whose values are kept on one line."""
     path = f"{work_folder(spark)}/bib-{uuid.uuid4().hex}"
     pubs = publications(spark, sf).withColumn("idx", F.col("doc_id"))
-    pubs = pubs.withColumn("title", F.btrim(F.regexp_replace("title", r"[ \t\n\r]+", " "))).drop("abstract")
-    bibtex.write_bib(pubs, path, fields=["title", "author", "year", "journal", "tipo", "url"])
-    back = bibtex.publications(bibtex.read_bib(spark, path, mode="line"), ["title", "year", "journal", "tipo", "url"])
-    return back.select("id", "title", "year", "journal", "tipo", "url")
+    one_line = lambda c: F.btrim(F.regexp_replace(c, r"[ \t\n\r]+", " "))
+    bibtex.write_bib(pubs.withColumns({c: one_line(c) for c in ("title", "author", "abstract")}), path)
+    back = bibtex.publications(bibtex.read_bib(spark, path, mode="line"))
+    return back.select("id", *bibtex.FIELDS)
 
 
 # --- keywords ---------------------------------------------------------------------------------

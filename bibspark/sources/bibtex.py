@@ -7,8 +7,10 @@ expressions. Record order is ``(src_rank, pos)``.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.clean import DEFAULTS, with_defaults
@@ -17,13 +19,8 @@ from ..operators.numbering import with_ref_id
 
 FIELDS = list(DEFAULTS)
 
-_ENTRY_START = r"(?=@\w+\s*\{)"
-_ENTRY = r"(?sU)^@(\w+)\s*\{\s*([^,\s]+)\s*,\s*(.*)$"
-# A value is braced (up to three levels), quoted, or bare up to a comma or line end.
-_INNER = r"\{[^{}]*+\}"
-_MIDDLE = r"\{[^{}]*+(?:" + _INNER + r"[^{}]*+)*+\}"
-_BRACED = r"\{(?!\})[^{}]*+(?:" + _MIDDLE + r"[^{}]*+)*+\}"
-_FIELD = r"(?U)(\w+)\s*=\s*(" + _BRACED + r'|"[^"]*+"|[^,\n]+)\s*,?\s*'
+#: Before an "@" that opens a record.
+_RECORDS = r"(?U)(?=@\w+\s*\{)"
 
 
 def read_bib(
@@ -179,35 +176,62 @@ def _line_value(line: Column) -> Column:
     return F.btrim(F.btrim(F.btrim(value, F.lit(",")), F.lit("{}")), F.lit(","))
 
 
-def _brace_entries(chunks: DataFrame, stray_at: str) -> DataFrame:
-    pieces = chunks.select(
-        "file", "block", "row",
-        F.posexplode(F.split("text", "(?U)" + _ENTRY_START)).alias("part", "piece"),
-    )
-    entries = pieces.filter(F.col("piece").rlike(_ENTRY)).select(
-        "file", "block", "row", "part",
-        F.lower(F.regexp_extract("piece", _ENTRY, 1)).alias("entry_type"),
-        F.regexp_extract("piece", _ENTRY, 2).alias("cite_key"),
-        F.regexp_extract("piece", _ENTRY, 3).alias("body"),
-    )
-    if stray_at == "drop":
-        entries = entries.filter(~F.col("body").contains("@"))
-    elif stray_at != "keep":
-        raise ValueError(f"unknown stray_at {stray_at!r}")
+def _fields(body: str) -> list[tuple[str, str]]:
+    """``(name, value)`` of each field in the body of a record.
 
-    def unwrap(raw: Column) -> Column:
-        value = strip_blanks(raw)
-        wrapped = value.rlike(r'(?s)^(\{.*\}|".*")$')
-        return F.when(wrapped, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+    A value in braces ends with the brace that closes its first one, at any depth; a quoted one with the next
+    quote; any other, and one that is never closed, at a comma or line end.
+    """
+    opened, closed = [], {}
+    for brace in re.finditer(r"[{}]", body):
+        if brace[0] == "{":
+            opened.append(brace.start())
+        elif opened:
+            closed[opened.pop()] = brace.start()
+    name, found, at = re.compile(r"(\w+)\s*=\s*"), [], 0
+    while field := name.search(body, at):
+        at = field.end()
+        first = body[at : at + 1]
+        end = closed.get(at, -1) if first == "{" else body.find('"', at + 1) if first == '"' else -1
+        if end >= 0:
+            value, at = body[at + 1 : end], end + 1
+        else:
+            value = re.compile(r"[^,\n]*").match(body, at)[0]
+            at += len(value)
+            if not value and body[at - 1] == "=":
+                continue
+            value = value.strip()
+        found.append((field[1].lower(), value))
+    return found
+
+
+_ENTRY = "entry_type string, cite_key string, stray boolean, pairs array<struct<k:string,v:string>>"
+
+
+def _entry(pieces: pd.Series) -> pd.DataFrame:
+    """Type, key and fields of each piece of text; nulls where no record with a key and a comma begins."""
+    rows = []
+    for piece in pieces:
+        kind, brace, inside = piece.partition("{")
+        key, comma, body = inside.partition(",")
+        kind, key = kind.removeprefix("@").rstrip(), key.strip()
+        if brace and comma and piece.startswith("@") and re.fullmatch(r"\w+", kind) and key and not re.search(r"\s", key):
+            rows.append((kind.lower(), key, "@" in body, [{"k": k, "v": v} for k, v in _fields(body)]))
+        else:
+            rows.append((None, None, None, None))
+    return pd.DataFrame(rows, columns=["entry_type", "cite_key", "stray", "pairs"])
 
-    keys = F.transform(F.regexp_extract_all("body", F.lit(_FIELD), F.lit(1)), F.lower)
-    values = F.transform(F.transform(F.regexp_extract_all("body", F.lit(_FIELD), F.lit(2)), unwrap), ascii_fold)
-    return (
-        entries.withColumn("_keys", keys)
-        .withColumn("_values", values)
-        .withColumn("fields", _last_wins(F.col("_keys"), F.col("_values")))
-        .drop("body", "_keys", "_values")
-    )
+
+def _brace_entries(chunks: DataFrame, stray_at: str) -> DataFrame:
+    if stray_at not in ("keep", "drop"):
+        raise ValueError(f"unknown stray_at {stray_at!r}")
+    place = ["file", "block", "row", "part"]
+    pieces = chunks.select(*place[:3], F.posexplode(F.split("text", _RECORDS)).alias("part", "piece"))
+    entries = pieces.select(*place, F.pandas_udf(_entry, _ENTRY)("piece").alias("e")).filter("e.entry_type IS NOT NULL")
+    if stray_at == "drop":
+        entries = entries.filter("NOT e.stray")
+    values = F.transform("e.pairs", lambda p: ascii_fold(p["v"]))
+    return entries.select(*place, "e.entry_type", "e.cite_key", _last_wins(F.col("e.pairs.k"), values).alias("fields"))
 
 
 def _last_wins(keys: Column, values: Column) -> Column:

@@ -71,10 +71,21 @@ _RAW = "index int, " + ", ".join(f"{p} string" for p in _PARTS) + ", kinds array
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = {"address", "article", "div", "dd", "dl", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ol", "p", "section", "table", "tr", "ul"}
 _HIDDEN = {"script", "style", "template"}
+# Fixed values of HTML: open elements that a start tag ends, and those beyond which it ends none.
+_ENDS = {
+    "li": ({"li"}, {"ul", "ol"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "td": ({"td", "th"}, {"table", "tr"}),
+    "th": ({"td", "th"}, {"table", "tr"}),
+    "tr": ({"tr"}, {"table"}),
+    "option": ({"option"}, {"select"}),
+}
+_ENDS_P = ({"p"}, {"button", "table", "td", "th"})
 
 
 class _Tree(HTMLParser):
-    """Lenient HTML to an element tree; unclosed elements end with their parent."""
+    """Lenient HTML to an element tree; unclosed elements end with their parent, or where a start tag implies it."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -83,16 +94,26 @@ class _Tree(HTMLParser):
         self.feed(html)
         self.close()
 
+    def _end(self, tags, beyond=()):
+        """End the innermost open element with one of ``tags``, unless one of ``beyond`` is further in."""
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag in tags:
+                del self.open[depth:]
+                return
+            if self.open[depth].tag in beyond:
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag in _BLOCK:
+            self._end(*_ENDS_P)
+        if tag in _ENDS:
+            self._end(*_ENDS[tag])
         node = ET.SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
         if tag not in _VOID:
             self.open.append(node)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                break
+        self._end({tag})
 
     def handle_data(self, data):
         top = self.open[-1]
@@ -141,18 +162,17 @@ def _select(scope: ET.Element, steps: list) -> list[ET.Element]:
 def _text(node: ET.Element) -> str:
     """Text as shown: blanks collapsed, block elements and line breaks on lines of their own."""
     out: list[str] = []
-
-    def walk(n: ET.Element) -> None:
-        if n.tag in _HIDDEN:
-            return
-        edge = "\n" if n.tag in _BLOCK or n.tag == "br" else ""
-        out.append(edge + re.sub(r"\s+", " ", n.text or ""))
-        for child in n:
-            walk(child)
-            out.append(re.sub(r"\s+", " ", child.tail or ""))
-        out.append(edge if n.tag != "br" else "")
-
-    walk(node)
+    todo: list[ET.Element | str] = [node]  # elements to open, and text to write, last first
+    while todo:
+        n = todo.pop()
+        if isinstance(n, str):
+            out.append(n)
+        elif n.tag not in _HIDDEN:
+            edge = "\n" if n.tag in _BLOCK or n.tag == "br" else ""
+            out.append(edge + re.sub(r"\s+", " ", n.text or ""))
+            todo.append(edge if n.tag != "br" else "")
+            for child in reversed(n):
+                todo += (re.sub(r"\s+", " ", child.tail or ""), child)
     return re.sub(r" *\n[\n ]*", "\n", "".join(out)).strip()
 
 

@@ -49,6 +49,15 @@ def test_brace_mode(spark, tmp_path):
     assert [g[1] for g in dropped] == ["k1", "k2"]
 
 
+def test_values_of_any_depth(spark, tmp_path):
+    """Five levels of braces, a value that is never closed, empty values, and an equals sign inside a value."""
+    nested = "A {b {c {d {e} d} c} b} rest, tail = 5"
+    text = f"@article{{k1, title = {{{nested}}}, note = {{}}, month=, year = , pages = {{ }}, url = {{open, tipo = \"a {{b\"\n"
+    assert read(spark, tmp_path, text, mode="brace") == [
+        ("article", "k1", {"title": nested, "note": "", "year": "", "pages": "", "url": "{open", "tipo": "a {b"}),
+    ]
+
+
 def test_brace_mode_over_many_splits(spark, tmp_path):
     entries = [f"@article{{k{i},\n title = {{T{i}}},\n abstract = {{a\n@b {i}\n@c}},\n}}\n" for i in range(300)]
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
