@@ -89,5 +89,6 @@ def wide_matrix(pairs: DataFrame, ids: list) -> DataFrame:
 
 
 def _csv(df: DataFrame, path: str) -> None:
-    # quotes inside texts are doubled, so that line breaks and quotes survive
-    df.write.mode("overwrite").option("escape", '"').csv(path, header=True)
+    # quotes inside texts are doubled and blanks kept, so that texts survive as they are
+    whole = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**whole).csv(path, header=True)
