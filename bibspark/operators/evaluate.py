@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .tfidf import indices, values
 
+DEALS = 16  # parts of a dimension's entries
 
 
 def silhouette(vectors: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -36,13 +37,10 @@ def dense_silhouette(df: DataFrame, id_col: str, vector_col: str, label_col: str
 
 def _silhouette(entries: DataFrame, sizes: DataFrame, id_col: str) -> DataFrame:
     sums = entries.groupBy(F.col("cluster").alias("other"), "i").agg(F.sum("w").alias("sum"))
-    # one array of sums per dimension, as long as there are clusters
-    by_dim = sums.groupBy("i").agg(F.collect_list(F.struct("other", "sum")).alias("sums"))
-    met = entries.join(by_dim, "i").select(
-        id_col, "cluster", "w", F.explode("sums").alias("o")
-    ).groupBy(id_col, "cluster", F.col("o.other").alias("other")).agg(
-        F.sum(F.col("w") * F.col("o.sum")).alias("dot")
-    )
+    # a dimension may be held by every row, so its entries are dealt out and meet copies of its sums
+    dealt = entries.withColumn("deal", F.pmod(F.xxhash64(id_col), F.lit(DEALS)).cast("int"))
+    copied = sums.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    met = dealt.join(copied, ["i", "deal"]).groupBy(id_col, "cluster", "other").agg(F.sum(F.col("w") * F.col("sum")).alias("dot"))
     dists = met.join(sizes.select(F.col("cluster").alias("other"), F.col("n").alias("m")), "other")
     own = F.col("cluster") == F.col("other")
     count = F.count_if(~own)

@@ -246,14 +246,11 @@ def heatmap_table(vectors: DataFrame, ids: list, id_col: str = "doc_id") -> Data
     return products.union(cells).groupBy("i", "j").agg(F.sum("sim").alias("sim"))
 
 
-def phrase_pairs(
-    docs: DataFrame, pairs: DataFrame, phrase: str, id_col: str = "doc_id", text_col: str = "abstract"
+def with_phrase(
+    vectors: DataFrame, docs: DataFrame, phrase: str, id_col: str = "doc_id", text_col: str = "abstract"
 ) -> DataFrame:
-    """The rows of ``pairs`` (``i, j, sim``) whose documents both contain ``phrase`` as given."""
-    ids = docs.filter(F.contains(F.lower(text_col), F.lit(phrase))).select(F.col(id_col).alias("id"))
-    return pairs.join(ids.withColumnRenamed("id", "i"), "i", "left_semi").join(
-        ids.withColumnRenamed("id", "j"), "j", "left_semi"
-    )
+    """The rows of ``vectors`` whose documents contain ``phrase`` as given; their pairs are those of the phrase."""
+    return vectors.join(docs.filter(F.contains(F.lower(text_col), F.lit(phrase))).select(id_col), id_col, "left_semi")
 
 
 def blocked_pairs(

@@ -266,14 +266,17 @@ ORACLES["ngram_vocabulary"] = f"WITH {VOCAB} SELECT term, df, cf, round(idf, 6)
 ORACLES["ngram_vocabulary_b"] = f"WITH {_grams('B', True)}, {_vocab('')} SELECT term, df, cf, round(idf, 6) AS idf FROM vocab"
 ORACLES["tfidf_weights"] = f"WITH {WEIGHTS} SELECT doc_id, term, round(w, 6) AS w FROM weights"
 
-REPS = WEIGHTS + """, vecs AS (
-  SELECT doc_id, list(term ORDER BY term) AS ts, list(round(w, 12) ORDER BY term) AS ws FROM weights GROUP BY 1),
+_OF_ALL = "FROM weights GROUP BY 1),"
+_OF_PHRASE = "FROM weights WHERE doc_id IN (SELECT doc_id FROM documents WHERE contains(lower(text), 'the')) GROUP BY 1),"
+REPS = WEIGHTS + f""", vecs AS (
+  SELECT doc_id, list(term ORDER BY term) AS ts, list(round(w, 12) ORDER BY term) AS ws {_OF_ALL}
 reps AS (SELECT min(doc_id) AS id, count(*) AS n FROM vecs GROUP BY ts, ws),
 rw AS (SELECT id, n, term, w FROM reps JOIN weights ON id = doc_id)"""
-ORACLES["cosine_pairs"] = f"""WITH {REPS}
-SELECT a.id AS i, b.id AS j, a.n AS n_i, b.n AS n_j, round(sum(a.w * b.w), 6) AS sim
+_PAIRS = f"""SELECT a.id AS i, b.id AS j, a.n AS n_i, b.n AS n_j, round(sum(a.w * b.w), 6) AS sim
 FROM rw a JOIN rw b ON a.term = b.term AND a.id < b.id GROUP BY 1, 2, 3, 4 HAVING sum(a.w * b.w) >= {MIN_SIM}
 UNION ALL SELECT id, id, n, n, 1.0 FROM reps WHERE n > 1"""
+ORACLES["cosine_pairs"] = f"WITH {REPS} {_PAIRS}"
+ORACLES["document_copies"] = f"WITH {REPS} SELECT doc_id, min(doc_id) OVER (PARTITION BY ts, ws) AS rep FROM vecs"
 ORACLES["blocked_pairs"] = f"""WITH {_grams('B', True)},
 blk AS (SELECT doc_id // 1000 AS block, count(*) AS n FROM documents GROUP BY 1),
 terms AS (SELECT doc_id // 1000 AS block, term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY 1, 2
@@ -283,7 +286,7 @@ raw AS (SELECT t.block, doc_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS x
 w AS (SELECT block, doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS w FROM raw)
 SELECT a.block, a.doc_id AS i, b.doc_id AS j, round(sum(a.w * b.w), 6) AS sim
 FROM w a JOIN w b ON a.block = b.block AND a.term = b.term AND a.doc_id < b.doc_id
-GROUP BY 1, 2, 3 HAVING sum(a.w * b.w) > 0.1"""
+GROUP BY 1, 2, 3 HAVING sum(a.w * b.w) > 0"""
 ORACLES["most_similar"] = f"""WITH {WEIGHTS}
 SELECT b.doc_id, round(sum(a.w * b.w), 6) AS sim FROM weights a JOIN weights b ON a.term = b.term
 WHERE a.doc_id = 0 AND b.doc_id <> 0 GROUP BY 1 ORDER BY sum(a.w * b.w) DESC, b.doc_id LIMIT 5"""
@@ -300,11 +303,8 @@ h AS (SELECT * FROM weights WHERE doc_id IN (SELECT doc_id FROM ids))
 SELECT i.doc_id AS i, j.doc_id AS j, coalesce(round(sum(a.w * b.w), 6), 0) AS sim
 FROM ids i CROSS JOIN ids j LEFT JOIN h a ON a.doc_id = i.doc_id LEFT JOIN h b ON b.doc_id = j.doc_id AND a.term = b.term
 GROUP BY 1, 2"""
-ORACLES["phrase_pairs"] = f"""WITH {WEIGHTS}, p AS (
-  SELECT a.doc_id AS i, b.doc_id AS j, sum(a.w * b.w) AS sim
-  FROM weights a JOIN weights b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING sum(a.w * b.w) >= 0.8),
-ids AS (SELECT doc_id FROM documents WHERE contains(lower(text), 'the'))
-SELECT i, j, round(sim, 6) AS sim FROM p WHERE i IN (SELECT doc_id FROM ids) AND j IN (SELECT doc_id FROM ids)"""
+ORACLES["phrase_pairs"] = f"""WITH {REPS.replace(_OF_ALL, _OF_PHRASE)}
+{_PAIRS}"""
 
 # --- dense vectors and clusters ---------------------------------------------------------------
 
@@ -341,12 +341,11 @@ comp AS (SELECT i, min(j) AS cluster FROM reach GROUP BY 1),
 grp AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY ts, ws) AS rep FROM vecs)
 SELECT doc_id, cluster FROM grp JOIN comp ON rep = i"""
 ORACLES["cluster_sizes"] = "SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY 1"
-ORACLES["cluster_summary"] = """WITH l AS (
-  SELECT label, doc_id, text FROM embeddings JOIN documents ON vec_id = doc_id)
-SELECT label AS cluster, count(*) AS n, min(doc_id) AS first_id, arg_min(text, doc_id) AS example FROM l GROUP BY 1"""
-ORACLES["cluster_head"] = """SELECT label AS cluster,
-  CAST(row_number() OVER (PARTITION BY label ORDER BY doc_id) AS INTEGER) AS rank, doc_id AS id, text
-FROM embeddings JOIN documents ON vec_id = doc_id QUALIFY rank <= 5"""
+ORACLES["cluster_summary"] = """SELECT lang AS cluster, count(*) AS n, min(doc_id) AS first_id, arg_min(text, doc_id) AS example
+FROM documents GROUP BY 1"""
+ORACLES["cluster_head"] = """SELECT lang AS cluster,
+  CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS INTEGER) AS rank, doc_id AS id, text
+FROM documents QUALIFY rank <= 5"""
 
 # --- sorts ------------------------------------------------------------------------------------
 

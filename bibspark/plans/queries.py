@@ -19,7 +19,7 @@ from .pubview import documents, publications, spread
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-MIN_SIM = 0.8
+MIN_SIM = 0.5
 DENSE_SIM = 0.4
 
 
@@ -330,9 +330,15 @@ def cosine_pairs(spark, sf):
     return out.withColumn("sim", _r("sim"))
 
 
+@_query
+def document_copies(spark, sf):
+    """Documents with equal vectors, by the smallest id: the membership behind ``n_i`` and ``n_j`` of the pairs."""
+    return similarity.copies(similarity.unit_arrays(_vectors(spark, sf))).withColumnRenamed("id", "doc_id")
+
+
 @_query
 def blocked_pairs(spark, sf):
-    out = similarity.blocked_pairs(materialize(_tokens(spark, sf, "B").select("doc_id", "tokens"), "tokens"), 1000, 0.1)
+    out = similarity.blocked_pairs(materialize(_tokens(spark, sf, "B").select("doc_id", "tokens"), "tokens"), 1000)
     return out.withColumn("sim", _r("sim"))
 
 
@@ -376,9 +382,9 @@ def heatmap_table(spark, sf):
 
 @_query
 def phrase_pairs(spark, sf):
-    pairs = similarity.similar_vectors(similarity.unit_arrays(_vectors(spark, sf)), 0.8)
     docs = documents(spark, sf).withColumnRenamed("text", "abstract")
-    return similarity.phrase_pairs(docs, pairs, "the").withColumn("sim", _r("sim"))
+    found = similarity.with_phrase(_vectors(spark, sf), docs, "the")
+    return similarity.cosine_pairs(found, MIN_SIM).withColumn("sim", _r("sim"))
 
 
 @_query
@@ -394,8 +400,8 @@ def svd_scores(spark, sf):
 @_query
 def word2vec_neighbours(spark, sf):
     docs = materialize(_full(spark, sf), "tokens")
-    vectors = materialize(dense.doc_vectors(docs, size=32, iterations=1, partitions=8), "w2v")
-    return dense.top_neighbours(vectors, 3, "doc_id", "features").withColumn("sim", _r("sim"))
+    vectors = materialize(dense.doc_vectors(docs), "w2v")
+    return dense.top_neighbours(vectors, 10, "doc_id", "features").withColumn("sim", _r("sim"))
 
 
 # --- dense vectors ----------------------------------------------------------------------------
@@ -435,7 +441,12 @@ def agglomerate_complete(spark, sf):
 
 @_query
 def agglomerate_ward(spark, sf):
-    return linkage.agglomerate(_vectors(spark, sf), "ward", 0.2)[0].withColumnRenamed("id", "doc_id")
+    return linkage.agglomerate(_vectors(spark, sf), "ward", 0.8)[0].withColumnRenamed("id", "doc_id")
+
+
+@_query
+def agglomerate_k5(spark, sf):
+    return linkage.agglomerate_k(_vectors(spark, sf), "average", 5)[0].withColumnRenamed("id", "doc_id")
 
 
 @_query
@@ -482,13 +493,13 @@ def cluster_sizes(spark, sf):
 @_query
 def cluster_summary(spark, sf):
     docs = documents(spark, sf).withColumnRenamed("text", "abstract")
-    return evaluate.cluster_summary(_labels(spark, sf).join(docs.select("doc_id"), "doc_id"), docs)
+    return evaluate.cluster_summary(docs.select("doc_id", F.col("lang").alias("cluster")), docs)
 
 
 @_query
 def cluster_head(spark, sf):
     docs = documents(spark, sf).withColumnRenamed("text", "abstract")
-    return evaluate.cluster_head(_labels(spark, sf).join(docs.select("doc_id"), "doc_id"), docs, 5)
+    return evaluate.cluster_head(docs.select("doc_id", F.col("lang").alias("cluster")), docs, 5)
 
 
 # --- sorts ------------------------------------------------------------------------------------

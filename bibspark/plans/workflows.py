@@ -14,7 +14,7 @@ from ..sources.taxonomy import Taxonomy
 
 def run_unify(spark: SparkSession, paths: list[str], out: str) -> dict[str, int]:
     """Unify source files (order matters) into ``out/unificados.bib`` and ``out/duplicados.bib``."""
-    pubs = bibtex.publications(bibtex.read_bib(spark, paths, mode="line"))
+    pubs = materialize(bibtex.publications(bibtex.read_bib(spark, paths, mode="line")), "pubs")
     unified = bibtex.write_bib(unify.unify(pubs), f"{out}/unificados.bib")
     dups = with_ref_id(unify.duplicates(pubs), ["src_rank", "pos"])
     repeated = dups.count()
