@@ -1,7 +1,8 @@
 """N-gram Jaccard join with set-relation skipping.
 
 A document's set holds the fingerprints of its distinct word shingles, in one order for all documents (by
-value). Two sets link if their Jaccard similarity reaches nine tenths, so they differ in few elements.
+value). Two sets link if their Jaccard similarity reaches a threshold (nine tenths, if none is given), so they differ
+in few elements.
 
 * **Index lists by position.** The order is cut into position blocks, one more than the number of elements in
   which linked sets of a size class may differ. A list is addressed by size class, block and the digest of the
@@ -20,7 +21,9 @@ difference from the lead, already connected, or counted.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from math import gcd
 
 import numpy as np
 import pandas as pd
@@ -32,46 +35,72 @@ from .components import components
 from .shared import Stages
 
 SHINGLE = 3
-#: Linked: 100 * intersection >= 90 * union. With s the sum of the sizes that is |x ^ y| <= s / 19.
-_PER_DIFFERENCE = 19
-#: Ratio of the bounds of a size class; at least 10/9, the largest ratio of the sizes of linked sets.
+#: Linked: 100 * intersection >= PERCENT * union.
+PERCENT = 90
+#: Ratio of the bounds of a size class, where the largest ratio of the sizes of linked sets is not above it.
 _CLASS_RATIO = 1.25
-#: Position blocks beyond the needed one: a set with at most this many empty blocks has no list for them.
-_SPARE = 2
 #: Members in a block of the difference products.
 MEMBERS = 512
 
 
-def size_classes(largest: int) -> np.ndarray:
-    """Upper bounds of the size classes up to ``largest``; the same for every table."""
-    bounds = [8]
+def _per_difference(percent: int) -> tuple[int, int]:
+    """``(p, q)``: with s the sum of the sizes, sets are linked if ``p * |x ^ y| <= q * s``."""
+    shared = gcd(100 + percent, 100 - percent)
+    return (100 + percent) // shared, (100 - percent) // shared
+
+
+@lru_cache
+def _bounds(largest: int, percent: int) -> np.ndarray:
+    bounds = [(percent - 1) // (100 - percent)]
     while bounds[-1] < largest:
-        bounds.append(max(int(bounds[-1] * _CLASS_RATIO), bounds[-1] * 10 // 9 + 1))
+        bounds.append(max(int(bounds[-1] * _CLASS_RATIO), bounds[-1] * 100 // percent + 1))
     return np.array(bounds)
 
 
-def list_keys(elements: np.ndarray) -> np.ndarray:
+def size_classes(largest: int, percent: int = PERCENT) -> np.ndarray:
+    """Upper bounds of the size classes up to ``largest``; the same for every table.
+
+    Sets of the first class link only if they are equal.
+    """
+    return _bounds(1 << largest.bit_length(), percent)
+
+
+def position_blocks(bound: int, percent: int = PERCENT) -> tuple[int, int]:
+    """Position blocks of the class up to ``bound``, and how many of them are spare.
+
+    The others are one more than the differences of linked sets. There are the more spare ones the fewer elements a
+    block has, that is the lower the threshold.
+    """
+    needed = bound * (100 - percent) // percent + 1
+    spare = 2 + needed * max(0, 9 * (100 - percent) - percent) // (2 * percent)
+    return needed + spare, spare
+
+
+def list_keys(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the index lists of one set (sorted distinct unsigned fingerprints).
 
-    Sets of up to 8 elements link only if they are equal, so they are in no list.
+    Blocks with few elements are equal by chance, so as many as are spare are left out: all that are smaller than the
+    smallest size that must stay. Linked sets agree in one more block than are spare, so also in one that is left
+    out by neither: the set with the larger smallest size leaves out no more than the spare ones, and the other none
+    of the rest. Sets of the first class are in no list.
     """
     n = len(elements)
-    bounds = size_classes(n + 1)
+    bounds = size_classes(n + 1, percent)
     own = int(np.searchsorted(bounds, n))
     keys = []
     for group in (own - 1, own):
         # the lists of a group hold its class, and of the next class the sets that can link with one in it
-        if group < 0 or bounds[group] <= 8 and group == own or group < own and 9 * n > 10 * bounds[group]:
+        if group < 0 or own == 0 or group < own and percent * n > 100 * bounds[group]:
             continue
-        blocks = int(bounds[group]) // 9 + 1 + _SPARE
+        blocks, spare = position_blocks(int(bounds[group]), percent)
         place = (elements >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
         edges = np.searchsorted(place, np.arange(blocks + 1, dtype=np.uint64))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(elements), dtype=np.uint64)))
         digest = total[edges[1:]] - total[edges[:-1]]
         address = np.uint64(group) << np.uint64(40) | np.arange(blocks, dtype=np.uint64)
         key = mix(digest + mix(address + np.uint64(1)))
-        full = edges[1:] > edges[:-1]
-        keys.append(key[full] if (~full).sum() <= _SPARE else key)
+        sizes = np.diff(edges)
+        keys.append(key[sizes >= np.partition(sizes, spare)[spare]])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -96,19 +125,19 @@ def set_id(elements: np.ndarray) -> int:
     return int(both.view(np.int64)[0])
 
 
-def _sets_of(docs: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, set_id, lists array<long>``; an empty set has a null name and no lists."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                sets = shingle_sets(part.column("text"))
+                sets = shingle_sets(part.column("text"), shingle)
                 seen: set[int] = set()
                 names, lists = [], []
                 for s in sets:
                     own = set_id(s) if len(s) else None
                     names.append(own)
-                    lists.append(list_keys(s).view(np.int64) if own is not None and own not in seen else np.zeros(0, np.int64))
+                    lists.append(list_keys(s, percent).view(np.int64) if own is not None and own not in seen else np.zeros(0, np.int64))
                     seen.add(own)
                 bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
                 flat = pa.array(np.concatenate(lists), pa.int64())
@@ -121,13 +150,13 @@ def _sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(name, f"doc_id {kind}, n_shingles long, set_id long, lists array<long>")
 
 
-def _elements(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _elements(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``set_id, elements binary`` of the wanted sets (``set_id, doc_id`` of one document each)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                sets = shingle_sets(part.column("text"))
+                sets = shingle_sets(part.column("text"), shingle)
                 same = [bool(len(s)) and set_id(s) == own for s, own in zip(sets, part.column("set_id").to_pylist())]
                 out = pa.record_batch([part.column("set_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_id", "elements"])
                 yield out.filter(pa.array(same))
@@ -158,39 +187,44 @@ def _compare(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(subtract, "lead long, member long, n_lead long, n_member long, diff binary")
 
 
-def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+def _block_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Links between open members and members of two blocks, one for each pair of components."""
-    left, right = rows[rows.open_side], rows[~rows.open_side]
-    none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-    if left.empty or right.empty:
-        return none
-    sides = [[np.frombuffer(d, np.uint64) for d in side["diff"]] for side in (left, right)]
-    sizes = [np.array([len(d) for d in side]) for side in sides]
-    columns = np.intersect1d(*(np.concatenate(side) for side in sides))
-    shared = np.zeros((len(left), len(right)), np.float32)
-    owners = [np.repeat(np.arange(len(side)), n) for side, n in zip(sides, sizes)]
-    flats = [np.concatenate(side) for side in sides]
-    for at in range(0, len(columns), 4096):
-        own = columns[at : at + 4096]
-        parts = []
-        for side, flat, owner in zip(sides, flats, owners):
-            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-            hit = own[place] == flat
-            dense = np.zeros((len(side), len(own)), np.float32)
-            dense[owner[hit], place[hit]] = 1
-            parts.append(dense)
-        shared += parts[0] @ parts[1].T
-    apart = sizes[0][:, None] + sizes[1][None, :] - 2 * shared
-    total = left.n_member.to_numpy()[:, None] + right.n_member.to_numpy()[None, :]
-    other = left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
-    i, j = np.nonzero((_PER_DIFFERENCE * apart <= total) & other)
-    if not len(i):
-        return none
-    found = pd.DataFrame({"a": left.component.to_numpy()[i], "b": right.component.to_numpy()[j]})
-    return found.drop_duplicates()
-
-
-def _member_links(compared: DataFrame, parts: DataFrame, salt: int = MEMBERS) -> DataFrame:
+    per, each = _per_difference(percent)
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows.open_side], rows[~rows.open_side]
+        none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        if left.empty or right.empty:
+            return none
+        sides = [[np.frombuffer(d, np.uint64) for d in side["diff"]] for side in (left, right)]
+        sizes = [np.array([len(d) for d in side]) for side in sides]
+        columns = np.intersect1d(*(np.concatenate(side) for side in sides))
+        shared = np.zeros((len(left), len(right)), np.float32)
+        owners = [np.repeat(np.arange(len(side)), n) for side, n in zip(sides, sizes)]
+        flats = [np.concatenate(side) for side in sides]
+        for at in range(0, len(columns), 4096):
+            own = columns[at : at + 4096]
+            parts = []
+            for side, flat, owner in zip(sides, flats, owners):
+                place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                hit = own[place] == flat
+                dense = np.zeros((len(side), len(own)), np.float32)
+                dense[owner[hit], place[hit]] = 1
+                parts.append(dense)
+            shared += parts[0] @ parts[1].T
+        apart = sizes[0][:, None] + sizes[1][None, :] - 2 * shared
+        total = left.n_member.to_numpy()[:, None] + right.n_member.to_numpy()[None, :]
+        other = left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
+        i, j = np.nonzero((per * apart.astype(np.int64) <= each * total) & other)
+        if not len(i):
+            return none
+        found = pd.DataFrame({"a": left.component.to_numpy()[i], "b": right.component.to_numpy()[j]})
+        return found.drop_duplicates()
+
+    return links
+
+
+def _member_links(compared: DataFrame, parts: DataFrame, percent: int, salt: int = MEMBERS) -> DataFrame:
     """``a, b``: components linked by two members of one lead, counted on their differences from it.
 
     Members whose component is not the lead's are open and meet every member of another component. A lead with
@@ -209,32 +243,36 @@ def _member_links(compared: DataFrame, parts: DataFrame, salt: int = MEMBERS) ->
     left = rows.where("open").select("lead", "member", "n_member", "diff", "component", F.col("block").alias("open_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("member_block"), F.lit(True).alias("open_side"))
     # rows are dealt by lead here; deal them by block pair, or all blocks of a large lead would meet in one task
     blocks = left.union(right).repartition("lead", "open_block", "member_block")
-    return blocks.groupBy("lead", "open_block", "member_block").applyInPandas(_block_links, "a long, b long").distinct()
+    return blocks.groupBy("lead", "open_block", "member_block").applyInPandas(_block_links(percent), "a long, b long").distinct()
 
 
-def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
+    Texts link if their sets of ``shingle``-word shingles have a Jaccard similarity of ``percent`` hundredths (50 to 99).
     ``component_id`` is the smallest ``doc_id`` reachable by links, the document itself included. Null and empty
     texts have empty sets and are linked with nothing. Repeated rows give repeated rows; texts with fewer words
     than a shingle are one shingle; extra columns are ignored; an empty table gives no rows.
     """
+    if not 50 <= percent <= 99:
+        raise ValueError(f"percent is {percent}, not 50 to 99")
     docs = docs.select("doc_id", "text")
     stages = Stages(docs.sparkSession)
-    sets = stages.keep(_sets_of(docs), "sets")
+    sets = stages.keep(_sets_of(docs, shingle, percent), "sets")
     named = sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     # the lead of a list is its smallest name; a list with one set is skipped
     entries = sets.select(F.explode("lists").alias("list"), "set_id")
     leads = entries.groupBy("list").agg(F.min("set_id").alias("lead"), F.max("set_id").alias("last")).where("lead < last").select("list", "lead")
     pairs = stages.keep(entries.join(leads, "list").where("set_id <> lead").select("lead", F.col("set_id").alias("member")).distinct(), "pairs")
     wanted = pairs.select(F.col("lead").alias("set_id")).union(pairs.select(F.col("member").alias("set_id"))).distinct()
-    elements = stages.keep(_elements(docs, named.join(wanted, "set_id")), "elements")
+    elements = stages.keep(_elements(docs, named.join(wanted, "set_id"), shingle), "elements")
     both = pairs.join(elements.withColumnRenamed("set_id", "member"), "member").join(elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements")), "lead")
     compared = stages.keep(_compare(both), "compared")
     stages.drop("pairs", "elements")
-    linked = compared.where(_PER_DIFFERENCE * F.length("diff") / 8 <= F.col("n_lead") + F.col("n_member")).select(F.col("lead").alias("a"), F.col("member").alias("b"))
+    per, each = _per_difference(percent)
+    linked = compared.where(per * F.length("diff") / 8 <= each * (F.col("n_lead") + F.col("n_member"))).select(F.col("lead").alias("a"), F.col("member").alias("b"))
     parts = stages.keep(components(linked, stages, "first"), "parts")
-    more = stages.keep(_member_links(compared, parts), "more")
+    more = stages.keep(_member_links(compared, parts, percent), "more")
     joined = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), stages, "second")
     classes = stages.keep(
         named.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "doc_id", F.coalesce("component", "set_id").alias("component")), "classes"

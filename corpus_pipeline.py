@@ -17,12 +17,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+#: Words of a shingle and hundredths of the Jaccard similarity from which documents are near copies.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the one with the smallest id.
 
     A row that stands several times is a group, too; of those with the smallest id the first by its values stays.
     """
-    first = ngram_jaccard_join(docs).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
+    first = ngram_jaccard_join(docs, NEAR_SHINGLE, NEAR_PERCENT).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi")
     # rows with one id: the smallest stays; a single row per id passes through a partial minimum unchanged
     smallest = kept.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row"))
