@@ -28,7 +28,7 @@ from math import gcd
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrays import PLAIN, Words, chunks, mix, window_hashes
 from .components import components
@@ -125,8 +125,28 @@ def set_id(elements: np.ndarray) -> int:
     return int(both.view(np.int64)[0])
 
 
+def text_key() -> Column:
+    """A name of the text that is never null: with it a row is told from others of the same or no ``doc_id``."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def first_owner() -> Column:
+    """The smallest ``doc_id`` with its text's ``key``; a null id only where there is no other."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", text_key().alias("key"), F.col("text").cast("string").alias("text"))
+
+
+def with_owners(docs: DataFrame, owners: DataFrame, how: str) -> DataFrame:
+    """Join rows with ``doc_id, key`` to owners; a null id is equal to a null id."""
+    named = owners.withColumnsRenamed({"doc_id": "_owner_id", "key": "_owner_key"})
+    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_owner_id")) & (F.col("key") == F.col("_owner_key")), how)
+
+
 def _sets_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, set_id, lists array<long>``; an empty set has a null name and no lists."""
+    """``doc_id, key, n_shingles, set_id, lists array<long>``; an empty set has a null name and no lists."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,16 +162,16 @@ def _sets_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
                 flat = pa.array(np.concatenate(lists), pa.int64())
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), flat)],
-                    ["doc_id", "n_shingles", "set_id", "lists"],
+                    [part.column("doc_id"), part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), flat)],
+                    ["doc_id", "key", "n_shingles", "set_id", "lists"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(name, f"doc_id {kind}, n_shingles long, set_id long, lists array<long>")
+    return _keyed(docs).mapInArrow(name, f"doc_id {kind}, key long, n_shingles long, set_id long, lists array<long>")
 
 
 def _elements(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``set_id, elements binary`` of the wanted sets (``set_id, doc_id`` of one document each)."""
+    """``set_id, elements binary`` of the wanted sets (``set_id, doc_id, key`` of one text each)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,8 +181,8 @@ def _elements(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 out = pa.record_batch([part.column("set_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_id", "elements"])
                 yield out.filter(pa.array(same))
 
-    # an id may stand for several texts; only the named set's text counts
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(wanted, "doc_id").select("set_id", "text")
+    # a row may stand several times, or two texts may have one key; only the named set's text counts
+    texts = with_owners(_keyed(docs), wanted, "inner").select("set_id", "text")
     return texts.mapInArrow(cut, "set_id long, elements binary").dropDuplicates(["set_id"])
 
 
@@ -246,26 +266,24 @@ def _member_links(compared: DataFrame, parts: DataFrame, percent: int, salt: int
     return blocks.groupBy("lead", "open_block", "member_block").applyInPandas(_block_links(percent), "a long, b long").distinct()
 
 
-def ngram_jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The sets of the documents and the classes of linked sets.
 
-    Texts link if their sets of ``shingle``-word shingles have a Jaccard similarity of ``percent`` hundredths (50 to 99).
-    ``component_id`` is the smallest ``doc_id`` reachable by links, the document itself included. Null and empty
-    texts have empty sets and are linked with nothing. Repeated rows give repeated rows; texts with fewer words
-    than a shingle are one shingle; extra columns are ignored; an empty table gives no rows.
+    Sets: a row per document, ``doc_id, key, n_shingles, set_id``. Classes: a row per set that is not empty, ``set_id,
+    component`` and in ``owner`` the ``doc_id`` and ``key`` of its first document.
     """
     if not 50 <= percent <= 99:
         raise ValueError(f"percent is {percent}, not 50 to 99")
     docs = docs.select("doc_id", "text")
     stages = Stages(docs.sparkSession)
     sets = stages.keep(_sets_of(docs, shingle, percent), "sets")
-    named = sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    named = sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(first_owner().alias("owner"))
     # the lead of a list is its smallest name; a list with one set is skipped
     entries = sets.select(F.explode("lists").alias("list"), "set_id")
     leads = entries.groupBy("list").agg(F.min("set_id").alias("lead"), F.max("set_id").alias("last")).where("lead < last").select("list", "lead")
     pairs = stages.keep(entries.join(leads, "list").where("set_id <> lead").select("lead", F.col("set_id").alias("member")).distinct(), "pairs")
     wanted = pairs.select(F.col("lead").alias("set_id")).union(pairs.select(F.col("member").alias("set_id"))).distinct()
-    elements = stages.keep(_elements(docs, named.join(wanted, "set_id"), shingle), "elements")
+    elements = stages.keep(_elements(docs, named.join(wanted, "set_id").select("set_id", "owner.doc_id", "owner.key"), shingle), "elements")
     both = pairs.join(elements.withColumnRenamed("set_id", "member"), "member").join(elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements")), "lead")
     compared = stages.keep(_compare(both), "compared")
     stages.drop("pairs", "elements")
@@ -274,9 +292,21 @@ def ngram_jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     parts = stages.keep(components(linked, stages, "first"), "parts")
     more = stages.keep(_member_links(compared, parts, percent), "more")
     joined = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), stages, "second")
-    classes = stages.keep(
-        named.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "doc_id", F.coalesce("component", "set_id").alias("component")), "classes"
-    )
-    smallest = classes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    owned = named.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left")
+    classes = stages.keep(owned.select("set_id", "owner", F.coalesce("component", "set_id").alias("component")), "classes")
+    return sets.drop("lists"), classes
+
+
+def ngram_jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``.
+
+    Texts link if their sets of ``shingle``-word shingles have a Jaccard similarity of ``percent`` hundredths (50 to 99).
+    ``component_id`` is the smallest ``doc_id`` reachable by links, the document itself included. Null and empty
+    texts have empty sets and are linked with nothing. A null ``doc_id`` links like others and is never the smallest
+    while there is another. Repeated rows give repeated rows; texts with fewer words than a shingle are one shingle;
+    extra columns are ignored; an empty table gives no rows.
+    """
+    sets, classes = near_sets(docs, shingle, percent)
+    smallest = classes.groupBy("component").agg(F.min("owner.doc_id").alias("component_id"))
     ids = classes.join(smallest, "component").select("set_id", "component_id")
-    return sets.drop("lists").join(ids, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return sets.join(ids, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bibspark.llm.decontaminate import remove_spans
-from bibspark.llm.ngram_join import ngram_jaccard_join
+from bibspark.llm.ngram_join import near_sets, text_key, with_owners
 from bibspark.llm.packing import pack
 from bibspark.llm.quality import keep_good
 from bibspark.llm.recompress import dedup_substrings
@@ -22,15 +22,19 @@ NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one with the smallest id.
+    """One document of each group of linked ones: the one with the smallest id, a null id being the last.
 
-    A row that stands several times is a group, too; of those with the smallest id the first by its values stays.
+    A row that stands several times is a group, too; of rows with one id and text the first by its values stays.
+    Different texts with one id or none are different documents; texts without words are linked with nothing.
     """
-    first = ngram_jaccard_join(docs, NEAR_SHINGLE, NEAR_PERCENT).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    # rows with one id: the smallest stays; a single row per id passes through a partial minimum unchanged
-    smallest = kept.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row"))
-    return smallest.select(*["doc_id" if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    _, classes = near_sets(docs, NEAR_SHINGLE, NEAR_PERCENT)
+    owners = classes.groupBy("component").agg(F.min("owner").alias("owner")).select("owner.doc_id", "owner.key")
+    row = F.struct(*docs.columns).alias("row")
+    some = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = with_owners(docs.where(some).select("doc_id", text_key().alias("key"), row), owners, "left_semi")
+    # rows with one id and text: the smallest stays; a single row passes through a partial minimum unchanged
+    kept = kept.groupBy("doc_id", "key").agg(F.min("row").alias("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]).union(docs.where(~some).distinct())
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,29 @@ def test_linked_sets_have_a_list_in_common(percent):
             if len(x) != len(np.intersect1d(x, y)) or len(x) != len(y):
                 linked = 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))
                 assert not linked or len(np.intersect1d(ngram_join.list_keys(x, percent), ngram_join.list_keys(y, percent)))
+
+
+def odd_rows():
+    """Rows (doc_id, text): ids that are null or stand for several texts, repeated rows, texts without words."""
+    rng = random.Random(2)
+    rows = [(None if k % 2 else k // 3, t) for k, t in enumerate(near_texts())]
+    hub = [f"h{rng.randrange(5000)}" for _ in range(200)]
+    near = [" ".join(hub[:at] + [f"n{at}"] + hub[at + 1 :]) for at in range(2, 200, 12)]
+    rows += [(None, " ".join(hub))] + [(900 + k, t) for k, t in enumerate(near)]
+    return rows + rows[:4] + [(None, ""), (7000, None), (7001, "\n")]
+
+
+def test_rows_without_an_id_of_their_own(spark):
+    rows = odd_rows()
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(3)
+    for args in ((), (5, 80)):
+        group, low = groups([t or "" for _, t in rows], *(args or (3, 90))), {}
+        for g, (i, _) in zip(group, rows):
+            low[g] = min((x for x in (low.get(g), i) if x is not None), default=None)
+        expected = sorted(((i, low[g]) for g, (i, _) in zip(group, rows)), key=repr)
+        found = ngram_join.ngram_jaccard_join(docs, *args).collect()
+        assert sorted(((r.doc_id, r.component_id) for r in found), key=repr) == expected
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    place = {(i, t): g for g, (i, t) in zip(group, rows)}
+    assert sorted(place[r.doc_id, r.text] for r in kept) == sorted(set(group))
+    assert all(r.doc_id is not None or low[place[r.doc_id, r.text]] is None for r in kept)
