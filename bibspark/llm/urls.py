@@ -1,8 +1,7 @@
 """URL filter: host and path rules first, then the ratio of two character language models; built-in functions only.
 
-Urls that a rule decides train a model of accepted and a model of rejected urls: Markov models of variable order,
-where a context is kept while it makes up a fixed share of all characters and every order is smoothed by the one
-below. Other urls are judged by the difference of the two log likelihoods per character, against a threshold
+Urls that a rule decides train a model of accepted and a model of rejected urls: Markov models of variable order
+with every n-gram and context seen, where every order is smoothed by the one below. Other urls are judged by the difference of the two log likelihoods per character, against a threshold
 calibrated on rule-decided urls that training left out.
 """
 
@@ -36,9 +35,8 @@ RULES = [
     HostRule("com", "/", "allow"), HostRule("example.com", "/en/", "block"), HostRule("www.example.com", "/en/", "allow"),
     HostRule("net", "/es/", "block"), HostRule("net", "/fr/", "block"),
 ]
-#: Longest context; the share of all training characters that a context must follow, and that an n-gram must make
-#: up: with contexts of one length adding up to one, a table has at most 10,000 contexts or 100,000 n-grams.
-ORDER, CONTEXT_SHARE, GRAM_SHARE = 4, 1e-4, 1e-5
+#: Longest context; share of all characters to be judged from which an n-gram's score is broadcast, so at most 100,000 are.
+ORDER, FREQUENT = 4, 1e-5
 #: Weight of the shorter context, in counts; characters assumed for the shortest.
 SMOOTHING, ALPHABET = 4.0, 256
 #: Every so many rule-decided urls one calibrates; width of the score bins of the threshold.
@@ -67,37 +65,46 @@ def _characters(urls: DataFrame) -> DataFrame:
     return rows.withColumns({f"g{k}": F.substring("_text", F.col("_i") - k, F.lit(k + 1)) for k in range(ORDER + 1)}).drop("_text", "_i")
 
 
-def _models(train: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """For each order the n-grams (``g, a, b``: accepted, rejected counts) and contexts (``x, na, nb``) that are kept."""
-    top = train.groupBy(f"g{ORDER}").agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("b"))
-    total = top.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
-    size = max((total.a or 0) + (total.b or 0), 1)
+def _models(train: DataFrame, stages: Stages) -> tuple[list[DataFrame], list[DataFrame]]:
+    """For each order all n-grams (``g, a, b``: accepted, rejected counts) and all contexts (``x, na, nb``)."""
+    top = stages.keep(train.groupBy(f"g{ORDER}").agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("b")), "top")
     grams, contexts = [], []
     for k in range(ORDER + 1):
         own = top.groupBy(F.substring(F.col(f"g{ORDER}"), ORDER + 1 - k, k + 1).alias("g")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        grams.append(own.where(F.col("a") + F.col("b") >= GRAM_SHARE * size))
-        held = own.groupBy(F.substring("g", 1, k).alias("x")).agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
-        contexts.append(held.where(F.col("na") + F.col("nb") >= CONTEXT_SHARE * size))
+        grams.append(stages.keep(own, f"grams-{k}"))
+        held = grams[k].groupBy(F.substring("g", 1, k).alias("x")).agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
+        contexts.append(stages.keep(held, f"contexts-{k}"))
     return grams, contexts
 
 
-def _scores(urls: DataFrame, grams: list[DataFrame], contexts: list[DataFrame]) -> DataFrame:
-    """``url, ratio``: the difference of the log likelihoods per character."""
-    rows = _characters(urls.select("url", "host", "path"))
+def _scores(urls: DataFrame, grams: list[DataFrame], contexts: list[DataFrame], stages: Stages) -> DataFrame:
+    """``url, ratio``: the difference of the log likelihoods per character.
+
+    A character's score depends on its longest n-gram only, so each distinct one is looked up once. The scores of
+    frequent ones are broadcast, the others joined: none of those has more than a small share of the characters.
+    """
+    last = f"g{ORDER}"
+    characters = _characters(urls.select("url", "host", "path")).select("url", last)
+    rows = stages.keep(characters.groupBy(last).agg(F.count(F.lit(1)).alias("n")), "asked")
+    total = rows.agg(F.sum("n")).first()[0] or 0
     accepted = rejected = F.lit(1.0 / ALPHABET)
     for k in range(ORDER + 1):
-        g, x = (f"_{n}{k}" for n in "gx")
-        own = grams[k].select(F.col("g").alias(g), F.col("a").alias(f"_a{k}"), F.col("b").alias(f"_b{k}"))
-        held = contexts[k].select(F.col("x").alias(x), F.col("na").alias(f"_na{k}"), F.col("nb").alias(f"_nb{k}"))
-        rows = rows.withColumn(f"_c{k}", F.substring(f"g{k}", 1, k))
-        rows = rows.join(F.broadcast(own), F.col(f"g{k}") == F.col(g), "left").join(F.broadcast(held), F.col(f"_c{k}") == F.col(x), "left")
-        known = F.col(x).isNotNull()
+        own = grams[k].select(F.col("g").alias("_g"), F.col("a").alias("_a"), F.col("b").alias("_b"))
+        held = contexts[k].select(F.col("x").alias("_x"), F.col("na").alias("_na"), F.col("nb").alias("_nb"))
+        rows = rows.withColumn("_own", F.substring(last, ORDER + 1 - k, k + 1)).withColumn("_held", F.substring(last, ORDER + 1 - k, k))
+        rows = rows.join(own, F.col("_own") == F.col("_g"), "left").join(held, F.col("_held") == F.col("_x"), "left")
+        known = F.col("_x").isNotNull()
         # without the context the shorter one decides
         part = lambda c, n, lower: F.when(known, (F.coalesce(c, F.lit(0)) + SMOOTHING * lower) / (n + SMOOTHING)).otherwise(lower)
-        rows = rows.withColumns({f"_pa{k}": part(F.col(f"_a{k}"), F.col(f"_na{k}"), accepted), f"_pb{k}": part(F.col(f"_b{k}"), F.col(f"_nb{k}"), rejected)})
-        rows = rows.drop(g, x, f"_a{k}", f"_b{k}", f"_na{k}", f"_nb{k}", f"_c{k}", f"g{k}", *([f"_pa{k - 1}", f"_pb{k - 1}"] if k else []))
-        accepted, rejected = F.col(f"_pa{k}"), F.col(f"_pb{k}")
-    return rows.groupBy("url").agg((F.sum(F.log(accepted) - F.log(rejected)) / F.count(F.lit(1))).alias("ratio"))
+        rows = rows.select(last, "n", part(F.col("_a"), F.col("_na"), accepted).alias("_pa"), part(F.col("_b"), F.col("_nb"), rejected).alias("_pb"))
+        accepted, rejected = F.col("_pa"), F.col("_pb")
+    known = stages.keep(rows.select(last, "n", (F.log("_pa") - F.log("_pb")).alias("score")), "known")
+    frequent = known.where(F.col("n") >= FREQUENT * total).select(last, "score")
+    rare = known.where(F.col("n") < FREQUENT * total).select(last, F.col("score").alias("_rare"))
+    scored = characters.join(F.broadcast(frequent), last, "left")
+    joined = scored.where(F.col("score").isNull()).drop("score").join(rare, last).select("url", F.col("_rare").alias("score"))
+    both = scored.where(F.col("score").isNotNull()).select("url", "score").union(joined)
+    return both.groupBy("url").agg((F.sum("score") / F.count(F.lit(1))).alias("ratio"))
 
 
 def _threshold(scored: DataFrame) -> float:
@@ -131,11 +138,9 @@ def judge_urls(pages: DataFrame, rules: list[HostRule] | None = None) -> DataFra
     urls = stages.keep(urls.withColumn("said", said), "urls")
     decided = urls.where(F.col("said").isNotNull()).withColumn("accepted", F.col("said") == "allow")
     calibrates = F.crc32(F.col("url").cast("binary")) % CALIBRATION == 0
-    grams, contexts = _models(_characters(decided.where(~calibrates)))
-    grams = [stages.keep(g.coalesce(1), f"grams-{k}") for k, g in enumerate(grams)]
-    contexts = [stages.keep(c.coalesce(1), f"contexts-{k}") for k, c in enumerate(contexts)]
+    grams, contexts = _models(_characters(decided.where(~calibrates)), stages)
     open_urls = urls.where(F.col("said").isNull() & (F.col("host") != ""))
-    scored = stages.keep(_scores(open_urls.union(urls.where(F.col("said").isNotNull() & calibrates)), grams, contexts), "scored")
+    scored = stages.keep(_scores(open_urls.union(urls.where(F.col("said").isNotNull() & calibrates)), grams, contexts, stages), "scored")
     limit = _threshold(scored.join(decided.select("url", "accepted"), "url"))
     judged = urls.join(scored, "url", "left")
     verdict = F.coalesce("said", F.when(F.col("ratio") >= limit, "allow").otherwise("block"))
