@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .quality import CURRENT, RULES, mask
 from .recompress import WINDOW
+from .secret_scan import BASE, RULES as SECRETS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN = r"'[^\x20\x09-\x0D]+'"
@@ -82,9 +83,40 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN kept USING (r)
 """
 
+_MARKED = " UNION ALL ".join(
+    f"""SELECT r, {k} AS k, string_split(regexp_replace(t, '{s.search.replace("'", "''")}', chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS parts,
+        '{s.kind}' AS kind, '{s.whole.replace("'", "''")}' AS whole FROM d"""
+    for k, s in enumerate(SECRETS)
+)
+
+#: Matches are marked in the text; the signs of the marks are no part of any rule.
+SECRET_SPANS = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) AS t FROM documents),
+m AS ({_MARKED}),
+p AS (SELECT r, k, kind, whole, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM m WHERE len(parts) > 1),
+s AS (
+    SELECT r, k, kind, whole, i, split_part(part, chr(2), 1) AS match,
+        sum(length(replace(part, chr(2), ''))) OVER (PARTITION BY r, k ORDER BY i) - length(replace(part, chr(2), '')) AS start
+    FROM p
+),
+f AS (
+    SELECT r, k, kind, start, kind || ':' || start::BIGINT || ':' || (start + length(match))::BIGINT AS span FROM s
+    WHERE i > 0 AND regexp_full_match(match, whole)
+),
+g AS (
+    SELECT r, string_agg(span, ',' ORDER BY start, k) AS spans, string_agg(span, ',' ORDER BY start, k) FILTER (k < {BASE}) AS base,
+        {", ".join(f"count(*) FILTER (k = {k}) AS n_{s.kind}" for k, s in enumerate(SECRETS[:BASE]))}
+    FROM f GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{s.kind}, 0) AS n_{s.kind}" for s in SECRETS[:BASE])}, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": JACCARD,
     "op2_quality_rules": QUALITY,
     "op3_benchmark_decontamination": CONTAMINATION,
     "op4_substring_dedup": SUBSTRINGS,
+    "op11_secret_scan": SECRET_SPANS,
 }

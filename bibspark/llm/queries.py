@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .alignment import alignment_report
 from .decontaminate import contamination_report
 from .language import identify_languages
 from .lattice import lattice_scores
@@ -14,9 +15,11 @@ from .ngram_join import ngram_jaccard_join
 from .packing import pack
 from .quality import quality_report
 from .recompress import dedup_substrings
-from .shared import benchmark, documents, pages
+from .secret_scan import secret_report
+from .shared import benchmark, documents, embeddings, pages
 from .tokens import token_counts
 from .urls import judge_urls
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +64,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # null where the exact deviation is beyond a long; the operator has it as a decimal
+    return whiten(embeddings(spark, sf_dir)).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_quality_rules, op3_benchmark_decontamination, op4_substring_dedup, op5_language_id,
     op6_packing, op7_license_scan, op8_lm_scoring, op9_url_filters, op10_token_counts,
+    op11_secret_scan, op12_embedding_whitening, op13_cross_tokenizer_alignment,
 )}

@@ -47,12 +47,6 @@ def split_by(column: Column, divisor: int, held: int) -> Column:
     return F.coalesce(column % divisor == held, F.lit(False))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that has fewer scan partitions than the session has cores, by all its values."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 Table = Callable[[SparkSession, str], DataFrame]
 
 
@@ -60,4 +54,4 @@ def table(name: str) -> Table:
     return lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-documents, pages, benchmark = table("documents"), table("pages"), table("benchmark")
+documents, pages, benchmark, embeddings = table("documents"), table("pages"), table("benchmark"), table("embeddings")
