@@ -6,6 +6,9 @@ from the place that a neighbour has found. Common ends cut the tokens into group
 neighbours is the range of tokens that a token overlaps. All texts of a chunk are one such intersection, as their
 bytes stand one after another and texts end at a common end.
 
+A's ids come from a faster library where the file's ids are merge ranks, as they are in the byte-level file: its ids are
+the same for every text (the tests go over all code points).
+
 How many documents hold a pair of linked tokens is counted over the corpus. A document's pairs are kept with it;
 pairs that are held by more than a stated share of all kept ones, a bounded number, are sent to every task, and
 the others are joined.
@@ -14,7 +17,9 @@ the others are joined.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -101,6 +106,26 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in printed} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+#: Runs of white space from which on a text goes to the slower library: the faster one cannot look so far ahead.
+LONG_BLANK = re.compile(r"\s{5000}")
+
+
+def _fast_library(path: str, tokens: dict[str, int], signs: dict[str, int]):
+    """A faster library with the vocabulary of a byte-level file; None if its ids are not the ranks of its merges.
+
+    It has the same ids for all texts then: words are cut by the same classes of signs and merged by the same ranks.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        merges = json.load(file)["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    if any(tokens.get("".join(p)) != 256 + k for k, p in enumerate(pairs)) or any(tokens.get(s, 256) > 255 for s in signs):
+        return None
+    ranks = {bytes(signs[c] for c in token): i for token, i in tokens.items() if i < 256 + len(pairs)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Pair:
     """Two tokenizers and the bytes of their tokens. A encodes a space and the text, B the text, with a space of its own."""
 
@@ -112,6 +137,7 @@ class Pair:
         self.library_a, self.library_b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
         self.library_a.encode_special_tokens = True
         signs, known = _byte_level(), self.library_a.get_vocab(with_added_tokens=True)
+        self.fast_a = _fast_library(path_a, known, signs)
         self.bytes_a = [b""] * (max(known.values()) + 1)
         for token, i in known.items():
             self.bytes_a[i] = bytes(signs[c] for c in token) if all(c in signs for c in token) else token.encode()
@@ -128,15 +154,18 @@ class Pair:
         a: list[list[int]] = [[] for _ in texts]
         b: list[list[int]] = [[] for _ in texts]
         some = [k for k, t in enumerate(texts) if t]
-        by_a = self.library_a.encode_batch_fast([" " + texts[k] for k in some], add_special_tokens=False)
         by_b = self.library_b.encode([texts[k] for k in some], num_threads=1) if some else []
-        for k, x, y in zip(some, by_a, by_b):
-            whole = b" " + texts[k].encode()
-            x = x.ids
+        for k, y in zip(some, by_b):
+            whole, x = b" " + texts[k].encode(), self.encode_a(" " + texts[k])
             if b"".join(map(self.bytes_a.__getitem__, x)) == whole == b"".join(map(self.bytes_b.__getitem__, y)):
                 a[k], b[k] = x, y
         return a, b
 
+    def encode_a(self, text: str) -> list[int]:
+        if self.fast_a is None or LONG_BLANK.search(text):
+            return self.library_a.encode(text, add_special_tokens=False).ids
+        return self.fast_a.encode_ordinary(text)
+
     def align(self, texts: list[str | None]) -> Aligned:
         sides = []
         for ids in self.encode(texts):

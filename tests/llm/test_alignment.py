@@ -93,6 +93,18 @@ def test_groups_give_back_the_text(spark):
         assert sum(r.bytes for r in own) == len(sides[0])
 
 
+def test_fast_ids_are_those_of_the_file():
+    pair, rng = alignment._pair(*alignment._paths(None, None)), random.Random(2)
+    assert pair.fast_a is not None
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b 1{c}2 {c} ?{c}!{c}{c}  x" for c in points]
+    texts += ["".join(rng.choice([*points[:0x300], *"  \n\t'sdmtlre"]) for _ in range(50)) for _ in range(2000)]
+    texts += [" " * 6000 + "x", "x" * 50_000, "\n" * 4999 + "é", "a" + " " * 1_000_000, "<|endoftext|>"]
+    for at in range(0, len(texts), 20_000):
+        own = texts[at : at + 20_000]
+        assert [pair.encode_a(t) for t in own] == [e.ids for e in pair.library_a.encode_batch_fast(own, add_special_tokens=False)]
+
+
 def test_galloping():
     rng = np.random.default_rng(1)
     for _ in range(600):
