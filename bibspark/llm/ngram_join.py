@@ -9,14 +9,14 @@ in few elements.
   block's elements. Linked sets agree in a whole block, so all lists of other positions or other contents are
   skipped before they are read.
 * **Answers from a similar set's answers.** Each list has one lead set. A member's difference from its lead is
-  computed once. The difference of two members follows from those two (``|x ^ y| = |dx| + |dy| - 2 |dx & dy|``
-  with ``dx = x ^ lead``), so their sets are not read again: pairs are skipped when ``| |dx| - |dy| |`` is too
-  large or when they are already in one component, and the rest are counted on the short differences, block by
-  block of members.
-
-Equal sets are one node. Only links that change components are written, so a group of m copies costs about m
-rows; no link between different sets is lost, as every pair in a common list is linked, excluded by its
-difference from the lead, already connected, or counted.
+  computed once. The difference of two members follows from those two (``x ^ y = dx ^ dy`` with ``dx = x ^ lead``), so
+  their sets are not read again. Members outside the largest component of a lead's members are open; some are picked
+  as further leads, each compared with all members, which joins most of what can be joined; those still open are
+  counted against all members on the short differences, block by block.
+
+Equal sets are one node. A picked lead writes a row a member at most, and two blocks a spanning forest of their
+components, so a group of m copies costs about m rows; no link between different sets is lost, as every pair in a common
+list is linked, already connected, or counted.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Ratio of the bounds of a size class, where the largest ratio of the sizes of linked sets is not above it.
 _CLASS_RATIO = 1.25
-#: Members in a block of the difference products.
-MEMBERS = 512
+#: Members in a block of the difference products, and how often an open member is picked as a further lead before them.
+MEMBERS, TURNS = 512, 2
 
 
 def _per_difference(percent: int) -> tuple[int, int]:
@@ -207,65 +207,149 @@ def _compare(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(subtract, "lead long, member long, n_lead long, n_member long, diff binary")
 
 
-def _block_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Links between open members and members of two blocks, one for each pair of components."""
+def _linked(left: list[np.ndarray], right: list[np.ndarray], n_left: np.ndarray, n_right: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of two sides are linked, from their sizes and their differences (sorted) from one lead."""
     per, each = _per_difference(percent)
+    sizes = [np.array([len(d) for d in side]) for side in (left, right)]
+    flats = [np.concatenate(side) for side in (left, right)]
+    owners = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    columns = np.intersect1d(*flats)
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(columns), 4096):
+        own = columns[at : at + 4096]
+        parts = []
+        for side, flat, owner in zip((left, right), flats, owners):
+            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            hit = own[place] == flat
+            dense = np.zeros((len(side), len(own)), np.float32)
+            dense[owner[hit], place[hit]] = 1
+            parts.append(dense)
+        shared += parts[0] @ parts[1].T
+    apart = sizes[0][:, None] + sizes[1][None, :] - 2 * shared.astype(np.int64)
+    return per * apart <= each * (n_left[:, None] + n_right[None, :])
+
+
+def _block_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Links between open members and members of two blocks: a spanning forest of their components, no more."""
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.open_side], rows[~rows.open_side]
-        none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        if left.empty or right.empty:
-            return none
-        sides = [[np.frombuffer(d, np.uint64) for d in side["diff"]] for side in (left, right)]
-        sizes = [np.array([len(d) for d in side]) for side in sides]
-        columns = np.intersect1d(*(np.concatenate(side) for side in sides))
-        shared = np.zeros((len(left), len(right)), np.float32)
-        owners = [np.repeat(np.arange(len(side)), n) for side, n in zip(sides, sizes)]
-        flats = [np.concatenate(side) for side in sides]
-        for at in range(0, len(columns), 4096):
-            own = columns[at : at + 4096]
-            parts = []
-            for side, flat, owner in zip(sides, flats, owners):
-                place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-                hit = own[place] == flat
-                dense = np.zeros((len(side), len(own)), np.float32)
-                dense[owner[hit], place[hit]] = 1
-                parts.append(dense)
-            shared += parts[0] @ parts[1].T
-        apart = sizes[0][:, None] + sizes[1][None, :] - 2 * shared
-        total = left.n_member.to_numpy()[:, None] + right.n_member.to_numpy()[None, :]
-        other = left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
-        i, j = np.nonzero((per * apart.astype(np.int64) <= each * total) & other)
-        if not len(i):
-            return none
-        found = pd.DataFrame({"a": left.component.to_numpy()[i], "b": right.component.to_numpy()[j]})
-        return found.drop_duplicates()
+        found: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            sides = [[np.frombuffer(d, np.uint64) for d in side["diff"]] for side in (left, right)]
+            both = _linked(*sides, left.n_member.to_numpy(), right.n_member.to_numpy(), percent)
+            own = [side.component.to_numpy() for side in (left, right)]
+            i, j = np.nonzero(both & (own[0][:, None] != own[1][None, :]))
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while root.get(x, x) != x:
+                    root[x] = x = root.get(root[x], root[x])
+                return x
+
+            for a, b in zip(own[0][i].tolist(), own[1][j].tolist()):
+                if find(a) != find(b):
+                    root[find(a)] = find(b)
+                    found.append((a, b))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return links
+
+
+def _lead_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links between the members of a lead and one of them that was picked."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per, each = _per_difference(percent)
+        for batch in batches:
+            picked, member = (batch.column(c).to_pylist() for c in ("picked_diff", "diff"))
+            total = batch.column("n_picked").to_numpy() + batch.column("n_member").to_numpy()
+            apart = [len(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(picked, member)]
+            near = pa.array(per * np.array(apart, np.int64) <= each * total)
+            yield pa.record_batch([batch.column("picked_component"), batch.column("component")], ["a", "b"]).filter(near)
 
     return links
 
 
-def _member_links(compared: DataFrame, parts: DataFrame, percent: int, salt: int = MEMBERS) -> DataFrame:
+def _placed(compared: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members with their components, of the leads whose members are in several. ``open``: not in the largest one."""
+    own = parts.select(F.col("node").alias("member"), "component")
+    rows = compared.join(own, "member", "left").select("lead", "member", "n_member", "diff", F.coalesce("component", "member").alias("component"))
+    shares = rows.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = shares.groupBy("lead").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+    main = main.select("lead", "n", F.col("main.component").alias("main"), (F.col("n") - F.col("main.n")).alias("n_open")).where("n_open > 0")
+    return rows.join(main, "lead").withColumn("open", F.col("component") != F.col("main")).drop("main")
+
+
+def _picked_links(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """``a, b``: components linked by a member that is picked for each lead from the open ones; a row a member at most."""
+    chance = F.struct(F.xxhash64("member", F.lit(turn)), "member")
+    picked = rows.where("open").groupBy("lead").agg(F.min(chance).getField("member").alias("member")).join(rows, ["lead", "member"])
+    picked = picked.select("lead", F.col("n_member").alias("n_picked"), F.col("diff").alias("picked_diff"), F.col("component").alias("picked_component"))
+    pairs = rows.join(picked, "lead").where("component <> picked_component")
+    return pairs.select("picked_component", "component", "n_picked", "n_member", "picked_diff", "diff").mapInArrow(_lead_links(percent), "a long, b long").distinct()
+
+
+def _member_links(rows: DataFrame, percent: int) -> DataFrame:
     """``a, b``: components linked by two members of one lead, counted on their differences from it.
 
-    Members whose component is not the lead's are open and meet every member of another component. A lead with
-    many members is dealt out as pairs of blocks, so a task holds two blocks of members at a time.
+    Every open member meets every member of another component. Open members and all members of a lead are dealt into
+    blocks, so a task holds two blocks at a time; members are copied once for each block of open ones.
     """
-    own = parts.select(F.col("node").alias("member"), "component")
-    lead = parts.select(F.col("node").alias("lead"), F.col("component").alias("lead_component"))
-    rows = compared.join(own, "member", "left").join(lead, "lead", "left")
-    component, lead_component = F.coalesce("component", "member"), F.coalesce("lead_component", "lead")
-    rows = rows.select("lead", "member", "n_member", "diff", component.alias("component"), (component != lead_component).alias("open"))
-    # leads with an open member and another member
-    counts = rows.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("n_open")).where("n > 1 and n_open > 0")
-    rows = rows.join(counts, "lead").withColumn("block", F.pmod(F.xxhash64("member"), F.greatest(F.lit(1), F.ceil(F.col("n") / salt))))
-    rows = rows.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("n") / salt)))
-    right = rows.select("lead", "member", "n_member", "diff", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("open_block"), F.col("block").alias("member_block"), F.lit(False).alias("open_side"))
-    left = rows.where("open").select("lead", "member", "n_member", "diff", "component", F.col("block").alias("open_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("member_block"), F.lit(True).alias("open_side"))
+    rows = rows.withColumn("open_blocks", F.ceil(F.col("n_open") / MEMBERS)).withColumn("blocks", F.ceil(F.col("n") / MEMBERS))
+    own = lambda name: F.pmod(F.xxhash64("member"), F.col(name))
+    every = lambda name: F.explode(F.sequence(F.lit(0).cast("long"), F.col(name) - 1))
+    columns = ["lead", "n_member", "diff", "component"]
+    right = rows.select(*columns, every("open_blocks").alias("open_block"), own("blocks").alias("member_block"), F.lit(False).alias("open_side"))
+    left = rows.where("open").select(*columns, own("open_blocks").alias("open_block"), every("blocks").alias("member_block"), F.lit(True).alias("open_side"))
     # rows are dealt by lead here; deal them by block pair, or all blocks of a large lead would meet in one task
     blocks = left.union(right).repartition("lead", "open_block", "member_block")
     return blocks.groupBy("lead", "open_block", "member_block").applyInPandas(_block_links(percent), "a long, b long").distinct()
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leads and members of the lists in one range of sorted ``list, set_id``: ``list, lead, member``.
+
+    The lead is the first set of a list in the range. ``list`` is given where the list may go beyond the range: for all
+    rows of the first list, and for the lead of the last one, which also stand as members of themselves.
+    """
+    first = held = lead = last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists, sets = (batch.column(c).to_numpy() for c in ("list", "set_id"))
+        begins = np.concatenate(([held != lists[0]], lists[1:] != lists[:-1]))
+        again = np.concatenate(([held == lists[0] and last == sets[0]], ~begins[1:] & (sets[1:] == sets[:-1])))
+        at = np.maximum.accumulate(np.where(begins, np.arange(len(lists)), -1))
+        leads = np.where(at >= 0, sets[at], sets[0] if lead is None else lead)
+        first = lists[0] if first is None else first
+        held, lead, last = lists[-1], leads[-1], sets[-1]
+        outer = (lists == first) & ~again
+        inner = (lists != first) & ~begins & ~again
+        pairs = np.unique(np.column_stack((leads[inner], sets[inner])), axis=0)
+        columns = [np.concatenate((pairs[:, 0], leads[outer])), np.concatenate((pairs[:, 1], sets[outer]))]
+        names = pa.array(np.concatenate((np.zeros(len(pairs), np.int64), lists[outer])), mask=np.arange(len(columns[0])) < len(pairs))
+        yield pa.record_batch([names, *map(pa.array, columns)], ["list", "lead", "member"])
+    if held is not None and held != first:
+        yield pa.record_batch([pa.array([x], pa.int64()) for x in (held, lead, lead)], ["list", "lead", "member"])
+
+
+def _lead_pairs(sets: DataFrame, stages: Stages) -> DataFrame:
+    """``lead, member``: the lead of each index list, its smallest set name, with each other set of the list.
+
+    One exchange by ranges of (list, set): a list with very many sets goes over several ranges, and what one task gets
+    does not depend on how often a list is used. The leads of lists at the ends of ranges, two a range, are put right afterwards.
+    """
+    entries = sets.select(F.explode("lists").alias("list"), "set_id")
+    runs = entries.repartitionByRange("list", "set_id").sortWithinPartitions("list", "set_id").mapInArrow(_runs, "list long, lead long, member long")
+    runs = stages.keep(runs, "runs")
+    ends = runs.where("list IS NOT NULL AND lead = member").groupBy("list").agg(F.min("lead").alias("true_lead"))
+    outer = runs.where("list IS NOT NULL").join(F.broadcast(ends), "list").select(F.col("true_lead").alias("lead"), "member")
+    pairs = stages.keep(runs.where("list IS NULL").select("lead", "member").union(outer).where("lead <> member").distinct(), "pairs")
+    stages.drop("runs")
+    return pairs
+
+
 def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The sets of the documents and the classes of linked sets.
 
@@ -276,12 +360,11 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
         raise ValueError(f"percent is {percent}, not 50 to 99")
     docs = docs.select("doc_id", "text")
     stages = Stages(docs.sparkSession)
-    sets = stages.keep(_sets_of(docs, shingle, percent), "sets")
+    listed = stages.keep(_sets_of(docs, shingle, percent), "listed")
+    sets = stages.keep(listed.drop("lists"), "sets")
     named = sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(first_owner().alias("owner"))
-    # the lead of a list is its smallest name; a list with one set is skipped
-    entries = sets.select(F.explode("lists").alias("list"), "set_id")
-    leads = entries.groupBy("list").agg(F.min("set_id").alias("lead"), F.max("set_id").alias("last")).where("lead < last").select("list", "lead")
-    pairs = stages.keep(entries.join(leads, "list").where("set_id <> lead").select("lead", F.col("set_id").alias("member")).distinct(), "pairs")
+    pairs = _lead_pairs(listed, stages)
+    stages.drop("listed")
     wanted = pairs.select(F.col("lead").alias("set_id")).union(pairs.select(F.col("member").alias("set_id"))).distinct()
     elements = stages.keep(_elements(docs, named.join(wanted, "set_id").select("set_id", "owner.doc_id", "owner.key"), shingle), "elements")
     both = pairs.join(elements.withColumnRenamed("set_id", "member"), "member").join(elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements")), "lead")
@@ -289,12 +372,20 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
     stages.drop("pairs", "elements")
     per, each = _per_difference(percent)
     linked = compared.where(per * F.length("diff") / 8 <= each * (F.col("n_lead") + F.col("n_member"))).select(F.col("lead").alias("a"), F.col("member").alias("b"))
-    parts = stages.keep(components(linked, stages, "first"), "parts")
-    more = stages.keep(_member_links(compared, parts, percent), "more")
-    joined = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), stages, "second")
+    edges = lambda parts: parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    parts = stages.keep(components(linked, stages, "linked"), "parts-0")
+    for turn in range(1, TURNS + 2):
+        rows = stages.keep(_placed(compared, parts), f"rows-{turn}")
+        if rows.isEmpty():
+            break
+        more = _picked_links(rows, percent, turn) if turn <= TURNS else _member_links(rows, percent)
+        parts = stages.keep(components(edges(parts).union(stages.keep(more, f"more-{turn}")), stages, f"turn-{turn}"), f"parts-{turn}")
+        stages.drop(f"rows-{turn}", f"more-{turn}", f"parts-{turn - 1}")
+    stages.drop("compared")
+    joined = parts
     owned = named.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left")
     classes = stages.keep(owned.select("set_id", "owner", F.coalesce("component", "set_id").alias("component")), "classes")
-    return sets.drop("lists"), classes
+    return sets, classes
 
 
 def ngram_jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -94,3 +94,42 @@ def test_rows_without_an_id_of_their_own(spark):
     place = {(i, t): g for g, (i, t) in zip(group, rows)}
     assert sorted(place[r.doc_id, r.text] for r in kept) == sorted(set(group))
     assert all(r.doc_id is not None or low[place[r.doc_id, r.text]] is None for r in kept)
+
+
+@pytest.mark.parametrize("turns", [0, 1])
+def test_members_meet_in_small_blocks(spark, monkeypatch, turns):
+    monkeypatch.setattr(ngram_join, "MEMBERS", 4)
+    monkeypatch.setattr(ngram_join, "TURNS", turns)
+    rng = random.Random(5)
+    base = [f"b{rng.randrange(5000)}" for _ in range(120)]
+    texts = []
+    for _ in range(60):  # near copies around the threshold: many are linked with some of the others only
+        words = base.copy()
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(120)] = f"n{rng.randrange(999)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], COLUMNS)
+    for args in ((3, 90), (5, 80)):
+        group = groups(texts, *args)
+        assert 1 < len(set(group)) < 60
+        assert {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(docs, *args).collect()} == dict(enumerate(group))
+
+
+def test_leads_of_lists_over_several_ranges(spark):
+    rng = random.Random(4)
+    often, rows = {}, []
+    for s in rng.sample(range(-(10**9), 10**9), 400):
+        lists = rng.sample(range(40), 3) + [99] * (s % 3 > 0) + [1000 + s]
+        rows += [(s, lists)] * rng.randrange(1, 3)
+        for x in lists:
+            often.setdefault(x, set()).add(s)
+    kept = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in kept}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    try:
+        pairs = ngram_join._lead_pairs(spark.createDataFrame(rows, "set_id long, lists array<long>"), ngram_join.Stages(spark))
+        assert sorted(map(tuple, pairs.collect())) == sorted({(min(own), s) for own in often.values() for s in own if s != min(own)})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -5,6 +5,7 @@ import zlib
 import brute
 import corpus_pipeline
 import numpy as np
+from test_near_duplicates import groups
 
 from bibspark.llm import packing
 
@@ -21,7 +22,10 @@ def plain(docs, items):
         if not (failed or 10 * symbols > n or chars < 3 * n or chars > 10 * n or 100 * dup > 30 * len(lines) or 2 * upper(text) > chars or 2 * letters < chars):
             kept.append(i)
     docs = [(i, rows[i]) for i in kept]
-    docs = [(i, rows[i]) for i, _, c in brute.jaccard(docs) if i == c]
+    group, low = groups([t for _, t in docs]), {}
+    for g, (i, _) in zip(group, docs):
+        low[g] = min(low.get(g, i), i)
+    docs = [(i, t) for g, (i, t) in zip(group, docs) if i == low[g]]
     texts = []
     for (i, text), (_, n, removed, _) in zip(docs, brute.substrings(docs)):
         if removed:
