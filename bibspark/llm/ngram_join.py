@@ -337,12 +337,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lead_pairs(sets: DataFrame, stages: Stages) -> DataFrame:
     """``lead, member``: the lead of each index list, its smallest set name, with each other set of the list.
 
+    Drops the stage ``listed``, which ``sets`` is read from.
+
     One exchange by ranges of (list, set): a list with very many sets goes over several ranges, and what one task gets
     does not depend on how often a list is used. The leads of lists at the ends of ranges, two a range, are put right afterwards.
     """
     entries = sets.select(F.explode("lists").alias("list"), "set_id")
     runs = entries.repartitionByRange("list", "set_id").sortWithinPartitions("list", "set_id").mapInArrow(_runs, "list long, lead long, member long")
     runs = stages.keep(runs, "runs")
+    stages.drop("listed")
+    stages.release()
     ends = runs.where("list IS NOT NULL AND lead = member").groupBy("list").agg(F.min("lead").alias("true_lead"))
     outer = runs.where("list IS NOT NULL").join(F.broadcast(ends), "list").select(F.col("true_lead").alias("lead"), "member")
     pairs = stages.keep(runs.where("list IS NULL").select("lead", "member").union(outer).where("lead <> member").distinct(), "pairs")
@@ -364,12 +368,14 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
     sets = stages.keep(listed.drop("lists"), "sets")
     named = sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(first_owner().alias("owner"))
     pairs = _lead_pairs(listed, stages)
-    stages.drop("listed")
+    stages.release()
     wanted = pairs.select(F.col("lead").alias("set_id")).union(pairs.select(F.col("member").alias("set_id"))).distinct()
     elements = stages.keep(_elements(docs, named.join(wanted, "set_id").select("set_id", "owner.doc_id", "owner.key"), shingle), "elements")
+    stages.release()
     both = pairs.join(elements.withColumnRenamed("set_id", "member"), "member").join(elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements")), "lead")
     compared = stages.keep(_compare(both), "compared")
     stages.drop("pairs", "elements")
+    stages.release()
     per, each = _per_difference(percent)
     linked = compared.where(per * F.length("diff") / 8 <= each * (F.col("n_lead") + F.col("n_member"))).select(F.col("lead").alias("a"), F.col("member").alias("b"))
     edges = lambda parts: parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -381,6 +387,7 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
         more = _picked_links(rows, percent, turn) if turn <= TURNS else _member_links(rows, percent)
         parts = stages.keep(components(edges(parts).union(stages.keep(more, f"more-{turn}")), stages, f"turn-{turn}"), f"parts-{turn}")
         stages.drop(f"rows-{turn}", f"more-{turn}", f"parts-{turn - 1}")
+        stages.release()
     stages.drop("compared")
     joined = parts
     owned = named.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -37,6 +38,12 @@ class Stages:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+    def release(self) -> None:
+        """Let go of the shuffle files of finished jobs: Spark removes them with the driver's objects that stand for them."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     """crc32 of an id written as text; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
