@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .shared import packed, unpacked
+
 _SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 
@@ -139,8 +141,7 @@ def quality_report(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The documents that pass, with their columns as they are (one may have the name of a measurement)."""
-    own = [F.col(f"_row.{c}") for c in docs.columns]
-    rows = ledger(docs.select(F.struct(*docs.columns).alias("_row"), "text"))
+    rows = ledger(docs.select(packed(docs), "text"))
     # a column that differs by row keeps the optimizer from copying all measurements into the filter
     rows = rows.select("_row", "fail_bits", F.monotonically_increasing_id().alias("_place"))
-    return rows.where(passes("base") & passes(policy) & (F.col("_place") >= 0)).select(*own)
+    return rows.where(passes("base") & passes(policy) & (F.col("_place") >= 0)).select(*unpacked(docs))

@@ -54,6 +54,16 @@ def split_by(column: Column, divisor: int, held: int) -> Column:
     return F.coalesce(column % divisor == held, F.lit(False))
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a table as one struct ``_row``, so that their names, whatever they are, clash with nothing."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("_row")
+
+
+def unpacked(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of ``docs`` from its rows as packed; those given by name are new."""
+    return [new.get(c, F.col("_row").getField(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
+
+
 Table = Callable[[SparkSession, str], DataFrame]
 
 

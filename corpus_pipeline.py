@@ -9,7 +9,7 @@ from bibspark.llm.ngram_join import near_sets, text_key, with_owners
 from bibspark.llm.packing import pack
 from bibspark.llm.quality import keep_good
 from bibspark.llm.recompress import dedup_substrings
-from bibspark.llm.shared import Stages
+from bibspark.llm.shared import Stages, packed, unpacked
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,25 +29,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     _, classes = near_sets(docs, NEAR_SHINGLE, NEAR_PERCENT)
     owners = classes.groupBy("component").agg(F.min("owner").alias("owner")).select("owner.doc_id", "owner.key")
-    row = F.struct(*docs.columns).alias("row")
     some = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = with_owners(docs.where(some).select("doc_id", text_key().alias("key"), row), owners, "left_semi")
+    kept = with_owners(docs.where(some).select("doc_id", text_key().alias("key"), packed(docs)), owners, "left_semi")
     # rows with one id and text: the smallest stays; a single row passes through a partial minimum unchanged
-    kept = kept.groupBy("doc_id", "key").agg(F.min("row").alias("row"))
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]).union(docs.where(~some).distinct())
+    kept = kept.groupBy("doc_id", "key").agg(F.min("_row").alias("_row"))
+    return kept.select(*unpacked(docs)).union(docs.where(~some).distinct())
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere, too; a text of which nothing is left goes."""
-    rows = dedup_substrings(docs, as_text=True).where("n_words = 0 or n_removed < n_words")
-    sized = rows.withColumn("text", F.col("kept")).withColumn("n_chars", F.char_length("kept").cast(docs.schema["n_chars"].dataType))
-    return sized.select(*docs.columns)
+    rows = dedup_substrings(docs.select("text", packed(docs)), as_text=True).where("n_words = 0 or n_removed < n_words")
+    size = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*unpacked(docs, text=F.col("kept"), n_chars=size))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark; one with any goes as a whole."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return remove_spans(docs, items, drop_share=0.0)
+    return remove_spans(docs.select("text", packed(docs)), items, drop_share=0.0).select(*unpacked(docs, text=F.col("text")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

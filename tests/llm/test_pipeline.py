@@ -5,6 +5,7 @@ import zlib
 import brute
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 from test_near_duplicates import groups
 
 from bibspark.llm import packing
@@ -67,3 +68,26 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, SF).columns == docs.columns
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_columns_with_names_of_the_operators(spark):
+    """Extra columns, whatever their names, go through every stage as they are; null ids and texts stay whole."""
+    base = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    odd = spark.createDataFrame([(None, "a text without an id " * 30, "en", "s", 9), (7000, None, None, None, None)], base.schema)
+    names = ["n_words", "key", "kept", "windows", "shared", "n_removed", "counts_only", "_hits", "_n_words", "_row", "row", "fail_bits", "a.b", "c0", "owner", "component", "set_id"]
+    docs = base.union(odd).withColumns({f"{n}": F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for n in names if n != "a.b"})
+    docs = docs.select("*", F.lit("dot").alias("a.b"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{'-' if r.doc_id is None else r.doc_id}" for r in rows for n in names if n != "a.b")
+        assert all(r["a.b"] == "dot" for r in rows)
+    assert corpus_pipeline.packing(spark, docs, SF).count() > 0
+
+
+def test_empty_benchmark(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 20")
+    spark.read.parquet(f"{SF}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
