@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -45,7 +45,7 @@ FAMILIES = {
     "epl": "epl", "gpl": "gpl", "isc": "isc", "lgpl": "lgpl", "mit": "mit", "mpl": "mpl", "unlicense": "public-domain", "wtfpl": "wtfpl", "zlib": "zlib",
 }
 _RANK = {"or": 1, "and": 2, "with": 3}
-_TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
+_TOKEN = re.compile(rb"[()]|[a-z0-9][a-z0-9.+:-]*")
 
 
 def family(identifier: str) -> str:
@@ -69,8 +69,13 @@ class Choice:
 MOST_WAYS = 64
 
 
-def parse_expression(text: str) -> tuple[Choice | None, bool]:
-    """Evaluate a licence expression by the shunting-yard method: ``with`` binds before ``and`` before ``or``.
+def tokens(low: bytes, start: int = 0, stop: int | None = None) -> Iterator[str]:
+    """The tokens of a lower-cased text between two places, one after another as they are asked for."""
+    return (m.group().decode() for m in _TOKEN.finditer(low, start, len(low) if stop is None else stop))
+
+
+def parse_expression(found: Iterable[str]) -> tuple[Choice | None, bool]:
+    """Evaluate the tokens of a licence expression by the shunting-yard method: ``with`` binds before ``and`` before ``or``.
 
     Returns the value and whether the expression was well formed. The expression ends where an operand follows
     an operand. An exception after ``with`` belongs to its licence and adds no label.
@@ -96,7 +101,7 @@ def parse_expression(text: str) -> tuple[Choice | None, bool]:
             values.append(Choice(frozenset([frozenset(left.labels | right.labels)])))
 
     depth = 0
-    for token in (m.group() for m in _TOKEN.finditer(text)):
+    for token in found:
         if token == "(":
             if not operand_next:
                 break
@@ -145,7 +150,7 @@ _TO_SPACES = bytes(int(LOWER[b]) if ALNUM[LOWER[b]] else 0x20 for b in range(256
 def scan_text(low: bytes, machine: ahocorasick.Automaton) -> tuple[list[int], set[str], set[str], float]:
     """Starts of the base phrases, base labels, all labels and the confidence, for one lower-cased text."""
     flat = b" " + b" ".join(low.translate(_TO_SPACES).split()) + b" "
-    places, base, labels, score, spaces, ends = [], set(), set(), 0.0, None, None
+    places, base, labels, score, spaces, ends, line = [], set(), set(), 0.0, None, None, 0
     # one character a byte: the phrases are ASCII, so no character of the text is needed
     for stop, (phrase, label) in machine.iter(flat.decode("latin-1")):
         if spaces is None:
@@ -160,8 +165,11 @@ def scan_text(low: bytes, machine: ahocorasick.Automaton) -> tuple[list[int], se
             if ends is None:
                 letters = np.append(ALNUM[np.frombuffer(low, np.uint8)], False)
                 ends = np.flatnonzero(letters[:-1] & ~letters[1:]) + 1
-            line = low[ends[first + 2] :].split(b"\n", 1)[0].decode("utf-8", "replace")
-            choice, sound = parse_expression(line)
+            at = int(ends[first + 2])
+            if line < at:  # the end of the line, looked for once a line
+                line = low.find(b"\n", at)
+                line = len(low) if line < 0 else line
+            choice, sound = parse_expression(tokens(low, at, line))
             if choice:
                 labels |= choice.labels
                 score = max(score, 1.0 if sound else 0.6)
