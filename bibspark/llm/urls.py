@@ -124,7 +124,8 @@ def judge_urls(pages: DataFrame, rules: list[HostRule] | None = None) -> DataFra
     """One row per page: ``page_id, host, path, rule, verdict, ratio``.
 
     ``verdict`` is the rule's, else "allow" if the likelihood ratio reaches the calibrated threshold, else
-    "block". A null url, or one without ``://``, has no host to go by and is blocked. Equal urls are judged once;
+    "block". A null url, or one without ``://``, has neither host nor path: it is judged by the end mark alone, and
+    a url without a host by its path. Equal urls are judged once;
     repeated rows give repeated rows; extra columns are ignored; an empty table gives no rows.
     """
     rules = RULES if rules is None else rules
@@ -139,7 +140,7 @@ def judge_urls(pages: DataFrame, rules: list[HostRule] | None = None) -> DataFra
     decided = urls.where(F.col("said").isNotNull()).withColumn("accepted", F.col("said") == "allow")
     calibrates = F.crc32(F.col("url").cast("binary")) % CALIBRATION == 0
     grams, contexts = _models(_characters(decided.where(~calibrates)), stages)
-    open_urls = urls.where(F.col("said").isNull() & (F.col("host") != ""))
+    open_urls = urls.where(F.col("said").isNull())
     scored = stages.keep(_scores(open_urls.union(urls.where(F.col("said").isNotNull() & calibrates)), grams, contexts, stages), "scored")
     limit = _threshold(scored.join(decided.select("url", "accepted"), "url"))
     judged = urls.join(scored, "url", "left")
