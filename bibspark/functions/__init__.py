@@ -8,7 +8,7 @@ from .clean import (
     strict_year,
     with_defaults,
 )
-from .text import ascii_fold, contains_ci, snippet, strip_blanks
+from .text import ascii_fold, snippet, strip_blanks
 from .tokens import ngrams, tokens
 
 __all__ = [
@@ -16,7 +16,6 @@ __all__ = [
     "ascii_fold",
     "classify_type",
     "clean_name",
-    "contains_ci",
     "extract_year",
     "ngrams",
     "normalize_authors",

@@ -75,10 +75,5 @@ def ascii_fold(col: Column) -> Column:
     return strip_blanks(F.when(col.rlike(_NON_ASCII), folded).otherwise(col))
 
 
-def contains_ci(text: Column, pattern: Column) -> Column:
-    """True where ``pattern`` occurs anywhere in ``text``, ignoring case, no word boundary."""
-    return F.contains(F.lower(text), F.lower(pattern))
-
-
 def snippet(col: Column, n: int = 100) -> Column:
     return F.substring(col, 1, n)

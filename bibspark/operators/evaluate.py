@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .tfidf import indices, values
@@ -62,25 +60,6 @@ def _silhouette(entries: DataFrame, sizes: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def sweep_k(features: DataFrame, low: int = 2, high: int = 10, seed: int = 42) -> DataFrame:
-    """K-means for every k: ``k, inertia, silhouette`` (squared Euclidean).
-
-    With the scores of :func:`dense.svd_scores` as features, distances are those
-    between the rows of the similarity matrix.
-    """
-    spark = features.sparkSession
-    data = features.select("features").persist()
-    evaluator = ClusteringEvaluator(distanceMeasure="squaredEuclidean")
-    rows = []
-    try:
-        for k in range(low, high + 1):
-            model = KMeans(k=k, seed=seed).fit(data)
-            rows.append((k, model.summary.trainingCost, evaluator.evaluate(model.transform(data))))
-    finally:
-        data.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
-
-
 def cluster_sizes(labels: DataFrame) -> DataFrame:
     return labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 

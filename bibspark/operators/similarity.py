@@ -1,9 +1,9 @@
 """Cosine similarity over sparse TF-IDF vectors.
 
 What needs only sums of similarities (centrality, corpus percentage, one
-against all) is computed from the vectors in linear time. Pairs are found by a
-threshold join with prefix filtering, which is exact for any positive
-threshold and whose cost follows the number of similar pairs, not n * n.
+against all) is computed from the vectors in linear time. Similar pairs and
+neighbours come from products of bounded tiles (:mod:`tiles`); tiles that
+cannot hold a similar pair do not meet.
 """
 
 from __future__ import annotations
@@ -18,28 +18,36 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.tokens import keep_if, ngram_range
+from ..session import materialize
+from . import tiles
 from .tfidf import indices, total, values
 
-_SLACK = 1e-9  # rounding allowance of the pruning bounds
-REST = 0.85  # largest length of the part behind a prefix, relative to the threshold
-BLOCK_ROWS = 4096  # rows of a hot term that meet in one join group
+_SLACK = 1e-9  # rounding allowance
 
 
 def unit_arrays(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``id, idx, val`` arrays of a sparse vector column."""
+    """``id, idx, val`` arrays of a sparse vector column, and ``key``, the same for equal vectors.
+
+    Vectors of :func:`tfidf.tfidf` bring the key of their term counts; for others it follows from the values.
+    """
     f = F.col("features")
-    return vectors.select(F.col(id_col).alias("id"), indices(f).alias("idx"), values(f).alias("val"))
+    exact = F.sha2(F.concat_ws(",", indices(f).cast("array<string>"), values(f).cast("array<string>")), 256)
+    key = F.col("key") if "key" in vectors.columns else exact
+    return vectors.select(F.col(id_col).alias("id"), indices(f).alias("idx"), values(f).alias("val"), key.alias("key"))
+
 
+def _groups(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
 
-def copies(vectors: DataFrame) -> DataFrame:
-    """``id, rep`` for every row: ``rep`` is the smallest id with the same vector."""
-    reps = representatives(vectors).select("idx", "val", F.col("id").alias("rep"))
-    return vectors.select("id", "idx", "val").join(reps, ["idx", "val"]).select("id", "rep")
 
+def copies(rows: DataFrame) -> DataFrame:
+    """``id, rep`` for every row of :func:`unit_arrays`: ``rep`` is the smallest id with the same vector."""
+    return rows.select("id", "key").join(_groups(rows), "key").select("id", "rep")
 
-def representatives(vectors: DataFrame) -> DataFrame:
+
+def representatives(rows: DataFrame) -> DataFrame:
     """One row per distinct vector: ``id`` (smallest), ``idx, val, n`` rows that share it."""
-    return vectors.groupBy("idx", "val").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    return rows.drop("key").join(_groups(rows).select(F.col("rep").alias("id"), "n"), "id")
 
 
 @F.arrow_udf(DoubleType())
@@ -62,61 +70,6 @@ def dot(ai: pa.Array, av: pa.Array, bi: pa.Array, bv: pa.Array) -> pa.Array:
     return pa.array(np.bincount(rows[hit], weights=products, minlength=len(na)))
 
 
-def candidate_pairs(vectors: DataFrame, min_sim: float, rest: float = REST) -> DataFrame:
-    """Pairs ``i < j`` that can reach ``min_sim``; a superset of the result.
-
-    Indices ascend from rare to common terms. The prefix of a vector is its
-    leading part beyond which the rest is shorter than ``min_sim``; the first
-    common term of a similar pair lies in both prefixes (vectors are at most of
-    unit length). Terms held by many prefixes are cut into blocks that are
-    joined block by block.
-    """
-    bound = (rest * min_sim) ** 2 - _SLACK
-    start = F.struct(total(F.transform("val", lambda x: x * x)).alias("rest"), F.lit(0).alias("p"))
-    walked = F.aggregate(
-        "val",
-        start,
-        lambda acc, x: F.when(
-            acc["rest"] >= bound, F.struct((acc["rest"] - x * x).alias("rest"), (acc["p"] + 1).alias("p"))
-        ).otherwise(acc),
-    )
-    # rounding can leave `rest` a little above the bound at the end of the vector
-    prefix = (
-        vectors.withColumn("_w", walked)
-        .withColumn("_cut", F.least(F.col("_w.p"), F.size("idx")))
-        .select(
-            "id",
-            F.sqrt(F.greatest("_w.rest", F.lit(0.0))).alias("rest"),
-            F.explode(F.slice(F.arrays_zip("idx", "val"), F.lit(1), F.col("_cut"))).alias("e"),
-        )
-        .select("id", "rest", F.col("e.idx").alias("t"), F.col("e.val").alias("w"))
-    )
-    # at most one row per vocabulary term
-    blocks = prefix.groupBy("t").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    rows = prefix.join(F.broadcast(blocks.filter("blocks > 1")), "t", "left").select(
-        "*", F.coalesce(F.pmod(F.xxhash64("id"), F.col("blocks")), F.lit(0)).cast("int").alias("b")
-    )
-    last = F.coalesce("blocks", F.lit(1)) - 1
-    left = rows.select(
-        "t", F.col("b").alias("b1"), F.explode(F.sequence("b", last)).alias("b2"),
-        F.col("id").alias("i"), F.col("w").alias("wi"), F.col("rest").alias("ri"),
-    )
-    right = rows.select(
-        "t", F.explode(F.sequence(F.lit(0), "b")).alias("b1"), F.col("b").alias("b2"),
-        F.col("id").alias("j"), F.col("w").alias("wj"), F.col("rest").alias("rj"),
-    )
-    met = left.join(right, ["t", "b1", "b2"]).filter(
-        ((F.col("b1") < F.col("b2")) & (F.col("i") != F.col("j"))) | (F.col("i") < F.col("j"))
-    )
-    # the sum over common prefix terms plus the longer rest bounds the similarity
-    return (
-        met.groupBy(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-        .agg(F.sum(F.col("wi") * F.col("wj")).alias("part"), F.max(F.greatest("ri", "rj")).alias("rest"))
-        .filter(F.col("part") + F.col("rest") >= min_sim - _SLACK)
-        .select("i", "j")
-    )
-
-
 def dot_pairs(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Add ``sim``, the inner product of the two vectors, to ``i, j`` rows."""
     a = vectors.select(F.col("id").alias("i"), F.col("idx").alias("ai"), F.col("val").alias("av"))
@@ -126,10 +79,73 @@ def dot_pairs(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def similar_vectors(vectors: DataFrame, min_sim: float) -> DataFrame:
-    """``i, j, sim`` of distinct vectors (``id, idx, val``) with ``sim >= min_sim``."""
+    """``i, j, sim`` of distinct vectors (``id, idx, val``) with ``i < j`` and ``sim >= min_sim``, by products of tiles."""
     if min_sim <= 0:
         raise ValueError("min_sim must be positive; sums over all pairs have their own operators")
-    return dot_pairs(candidate_pairs(vectors, min_sim), vectors).filter(F.col("sim") >= min_sim - _SLACK)
+    kind = vectors.schema["id"].dataType.simpleString()
+
+    def meet(left: tiles.Rows, right: tiles.Rows, same: bool) -> pd.DataFrame:
+        parts = []
+        for low, first, block in tiles.products(left, right):
+            a, b = np.nonzero((block >= min_sim - _SLACK) & (block > 0))
+            i, j = left["id"][low + a], right["id"][first + b]
+            once = i < j if same else slice(None)
+            parts.append(pd.DataFrame({"i": np.minimum(i, j)[once], "j": np.maximum(i, j)[once], "sim": block[a, b][once]}))
+        return pd.concat(parts)
+
+    rows, n = tiles.tiled(vectors.select("id", "idx", "val"))
+    return tiles.visit(rows, n, meet, f"i {kind}, j {kind}, sim double", min_sim)
+
+
+def neighbours(vectors: DataFrame, n: int = 1000, id_col: str = "doc_id") -> DataFrame:
+    """``i, rank, j, sim``: the ``n`` most similar other documents of each document, ties by id; exact.
+
+    Documents without a common term have similarity 0 and come last by id. Each pair of tiles gives at most ``n`` rows per
+    document, less where the document's own tile already has ``n`` better ones.
+    """
+    kind = vectors.schema[id_col].dataType.simpleString()
+    rows, count = tiles.tiled(unit_arrays(vectors, id_col).select("id", "idx", "val"))
+    if count > 1:
+
+        def bound(frame: pd.DataFrame) -> pd.DataFrame:
+            own, reach = tiles.Rows(frame), np.zeros(len(frame))
+            if len(own) > n:
+                best = np.full((len(own), n), -np.inf)
+                for low, first, block in tiles.products(own, own):
+                    at = slice(low, low + len(block))
+                    block[low + np.arange(len(block))[:, None] == first + np.arange(block.shape[1])] = -np.inf
+                    best[at] = np.partition(np.hstack((best[at], block)), -n, axis=1)[:, -n:]
+                reach = best.min(axis=1)
+            return pd.DataFrame({"id": own["id"], "reach": reach})
+
+        rows = materialize(rows.join(rows.groupBy("tile").applyInPandas(bound, f"id {kind}, reach double"), "id"), "reach")
+
+    def best(sims: np.ndarray, reach: np.ndarray, ids: np.ndarray, others: np.ndarray) -> list[pd.DataFrame]:
+        out = []
+        for at in range(0, len(sims), 64):
+            raw = sims[at : at + 64]
+            block = np.round(raw, 9)  # equal up to rounding is a tie
+            order = np.lexsort((np.broadcast_to(others, block.shape), -block), axis=1)[:, :n]
+            row = np.repeat(np.arange(len(block)), order.shape[1])
+            sim = block[row, order.ravel()]
+            ok = (sim >= reach[at + row] - 2 * _SLACK) & (sim >= 0)
+            out.append(pd.DataFrame({"i": ids[at + row][ok], "j": others[order.ravel()][ok], "sim": raw[row, order.ravel()][ok], "key": sim[ok]}))
+        return out
+
+    def meet(left: tiles.Rows, right: tiles.Rows, same: bool) -> pd.DataFrame:
+        parts, whole = [], np.zeros((len(left), len(right)))
+        for low, first, block in tiles.products(left, right):
+            whole[low : low + len(block), first : first + block.shape[1]] = block
+        if same:
+            np.fill_diagonal(whole, -1.0)
+        for a, b, sims in ((left, right, whole), *(() if same else ((right, left, whole.T),))):
+            reach = a["reach"] if count > 1 else np.zeros(len(a))
+            parts += best(sims, reach, a["id"], b["id"])
+        return pd.concat(parts)
+
+    found = tiles.visit(rows, count, meet, f"i {kind}, j {kind}, sim double, key double")
+    order = Window.partitionBy("i").orderBy(F.desc("key"), "j")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select("i", "rank", "j", "sim")
 
 
 def cosine_pairs(vectors: DataFrame, min_sim: float, id_col: str = "doc_id") -> DataFrame:
@@ -204,7 +220,7 @@ def compare_models(
 
 def centrality(vectors: DataFrame) -> DataFrame:
     """Add ``score``, the sum of similarities to all documents, itself included."""
-    return _times(vectors, vector_sum(vectors), "score").drop("features")
+    return _times(vectors, vector_sum(vectors), "score").drop("features", "key")
 
 
 def most_central(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:

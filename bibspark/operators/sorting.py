@@ -33,10 +33,6 @@ def years(df: DataFrame, field: str = "year", tie: str = "pos") -> DataFrame:
     return df.select(strict_year(F.col(field)).alias("year"), F.col(tie).alias("_tie")).filter("year is not null")
 
 
-def sorted_years(df: DataFrame, field: str = "year", tie: str = "pos") -> DataFrame:
-    return years(df, field, tie).orderBy("year", "_tie").select("year")
-
-
 def ranked_years(df: DataFrame, field: str = "year", tie: str = "pos") -> DataFrame:
     return with_ref_id(years(df, field, tie), ["year", "_tie"]).select("idx", "year")
 
@@ -69,8 +65,3 @@ def bucketed(values: DataFrame, column: str = "year", n: int | None = None) -> D
 
 def bucket_counts(buckets: DataFrame) -> DataFrame:
     return buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-
-
-def log_scaled(timings: DataFrame, column: str = "seconds") -> DataFrame:
-    """Add ``log_seconds`` = log10(t + 1) to a timing table."""
-    return timings.withColumn("log_seconds", F.log10(F.col(column) + 1))

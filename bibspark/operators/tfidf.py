@@ -119,13 +119,20 @@ def vocabulary_df(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id") -> DataFrame:
-    """Unit-length sparse vectors ``id, features``; documents without a known term are left out."""
+    """Unit-length sparse vectors ``id, features, key``; documents without a known term are left out.
+
+    ``key`` is the same for documents whose term counts are proportional: their vectors are equal, up to rounding.
+    """
     grams = docs.select(id_col, ngram_range(F.col("tokens"), *vocab.ngram).alias("_grams"))
     counts = CountVectorizerModel.from_vocabulary(vocab.terms, inputCol="_grams", outputCol="_tf")
     weigh = ElementwiseProduct(scalingVec=Vectors.dense(vocab.idf), inputCol="_tf", outputCol="_w")
     unit = Normalizer(p=2.0, inputCol="_w", outputCol="features")
     out = unit.transform(weigh.transform(counts.transform(grams)))
-    return out.select(id_col, keep_if(F.col("features"), lambda f: F.size(values(f)) > 0).alias("features"))
+    # quotients of equal ratios are equal doubles
+    shares = F.transform(values(F.col("_tf")), lambda c: c / F.get(values(F.col("_tf")), 0))
+    key = F.sha2(F.concat_ws(",", indices(F.col("_tf")).cast("array<string>"), shares.cast("array<string>")), 256)
+    row = F.struct(F.col("features"), key.alias("key"))
+    return out.select(id_col, keep_if(row, lambda r: F.size(values(r["features"])) > 0).alias("_r")).select(id_col, "_r.features", "_r.key")
 
 
 def indices(features: Column) -> Column:
@@ -149,8 +156,3 @@ def weights(vectors: DataFrame, vocab: Vocabulary, id_col: str = "doc_id") -> Da
     return vectors.select(id_col, entry.alias("e")).select(
         id_col, F.get(terms, F.col("e.i")).alias("term"), F.col("e.w").alias("w")
     )
-
-
-def empty_documents(docs: DataFrame) -> int:
-    """Number of documents that have no tokens."""
-    return docs.filter(F.size("tokens") == 0).count()

@@ -255,8 +255,8 @@ def _vocab(limits: str) -> str:
 
 
 VOCAB = f"{_grams('A')}, {_vocab('WHERE df >= 2 AND df <= 0.9 * n')}"
-WEIGHTS = VOCAB + """, raw AS (SELECT doc_id, term, tf * idf AS x FROM tf JOIN vocab USING (term)),
-weights AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS w FROM raw)"""
+WEIGHTS = VOCAB + """, raw AS (SELECT doc_id, term, tf, tf * idf AS x FROM tf JOIN vocab USING (term)),
+weights AS (SELECT doc_id, term, tf, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS w FROM raw)"""
 
 ORACLES["token_lists"] = f"SELECT doc_id, array_to_string({_tokens('A')}, ' ') AS tokens FROM documents"
 ORACLES["token_lists_b"] = f"SELECT doc_id, array_to_string({_tokens('B')}, ' ') AS tokens FROM documents"
@@ -268,8 +268,9 @@ ORACLES["tfidf_weights"] = f"WITH {WEIGHTS} SELECT doc_id, term, round(w, 6) AS
 
 _OF_ALL = "FROM weights GROUP BY 1),"
 _OF_PHRASE = "FROM weights WHERE doc_id IN (SELECT doc_id FROM documents WHERE contains(lower(text), 'the')) GROUP BY 1),"
-REPS = WEIGHTS + f""", vecs AS (
-  SELECT doc_id, list(term ORDER BY term) AS ts, list(round(w, 12) ORDER BY term) AS ws {_OF_ALL}
+# equal vectors have proportional term counts; quotients of equal ratios are equal doubles
+REPS = WEIGHTS + f""", counts AS (SELECT doc_id, list(term ORDER BY term) AS ts, list(tf ORDER BY term) AS tfs {_OF_ALL}
+vecs AS (SELECT doc_id, ts, list_transform(tfs, lambda c: c::DOUBLE / tfs[1]) AS ws FROM counts),
 reps AS (SELECT min(doc_id) AS id, count(*) AS n FROM vecs GROUP BY ts, ws),
 rw AS (SELECT id, n, term, w FROM reps JOIN weights ON id = doc_id)"""
 _PAIRS = f"""SELECT a.id AS i, b.id AS j, a.n AS n_i, b.n AS n_j, round(sum(a.w * b.w), 6) AS sim
@@ -314,7 +315,7 @@ sims AS (SELECT a.vec_id AS i, b.vec_id AS j, list_cosine_similarity(a.v, b.v) A
 ORACLES["dense_pairs"] = f"WITH {_UNITS} SELECT i, j, round(sim, 6) AS sim FROM sims WHERE i < j AND sim >= {DENSE_SIM}"
 ORACLES["top_neighbours"] = f"""WITH {_UNITS}
 SELECT i, CAST(row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS INTEGER) AS rank, j, round(sim, 6) AS sim
-FROM sims QUALIFY rank <= 10"""
+FROM sims QUALIFY rank <= 1000"""
 ORACLES["silhouette"] = f"""WITH {_UNITS}, m AS (
   SELECT s.i, a.label AS own, b.label AS other, avg(1 - s.sim) AS d
   FROM sims s JOIN e a ON a.vec_id = s.i JOIN e b ON b.vec_id = s.j GROUP BY 1, 2, 3),
@@ -340,6 +341,86 @@ reach AS (SELECT id AS i, id AS j FROM reps UNION SELECT r.i, n.j FROM reach r J
 comp AS (SELECT i, min(j) AS cluster FROM reach GROUP BY 1),
 grp AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY ts, ws) AS rep FROM vecs)
 SELECT doc_id, cluster FROM grp JOIN comp ON rep = i"""
+# Pairs of clusters by their ids (kind 0), and the merges (kind 1). Each turn merges the nearest pair; what is gone is far.
+_FAR = "1e300"
+_JOINED = {
+    "average": "(na * ha + nb * hb) / (na + nb)",
+    "single": "least(ha, hb)",
+    "complete": "greatest(ha, hb)",
+    "ward": "sqrt(greatest(0, ((na + nx) * ha * ha + (nb + nx) * hb * hb - nx * h * h) / (na + nb + nx)))",
+}
+
+
+def _hierarchy(method: str, cut: float | None = None) -> str:
+    first = "sqrt(2.0 * na * nb / (na + nb)) * h" if method == "ward" else "h"
+    return f"""WITH RECURSIVE {REPS}, sims AS (
+  SELECT a.id AS a, b.id AS b, greatest(0, 1 - sum(a.w * b.w)) AS h FROM rw a JOIN rw b ON a.term = b.term AND a.id < b.id GROUP BY 1, 2),
+dist AS (
+  SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, coalesce(h, 1.0) AS h
+  FROM reps a JOIN reps b ON a.id < b.id LEFT JOIN sims ON sims.a = a.id AND sims.b = b.id),
+state(kind, a, b, h, na, nb) USING KEY (kind, a, b) AS (
+  SELECT 0, a, b, ({first})::DOUBLE, na::DOUBLE, nb::DOUBLE FROM dist
+  UNION
+  (WITH pick AS (
+    SELECT a, b, h, na, nb FROM recurring.state WHERE kind = 0 AND round(h, 9) <= {_FAR if cut is None else cut} AND h < {_FAR}
+    ORDER BY round(h, 9), a, b LIMIT 1),
+  near AS (
+    SELECT CASE WHEN s.a IN (pick.a, pick.b) THEN s.b ELSE s.a END AS x,
+      CASE WHEN s.a IN (pick.a, pick.b) THEN s.nb ELSE s.na END AS nx,
+      max(s.h) FILTER (s.a = pick.a OR s.b = pick.a) AS ha, max(s.h) FILTER (s.a = pick.b OR s.b = pick.b) AS hb,
+      any_value(pick.a) AS a, any_value(pick.b) AS b, any_value(pick.h) AS h, any_value(pick.na) AS na, any_value(pick.nb) AS nb
+    FROM recurring.state s, pick
+    WHERE s.kind = 0 AND s.h < {_FAR} AND (s.a IN (pick.a, pick.b)) <> (s.b IN (pick.a, pick.b)) GROUP BY 1, 2)
+  SELECT 1, a, b, h, na + nb, 0.0 FROM pick
+  UNION ALL SELECT 0, a, b, {_FAR}, na, nb FROM pick
+  UNION ALL SELECT 0, least(b, x), greatest(b, x), {_FAR}, 0, 0 FROM near
+  UNION ALL SELECT 0, least(a, x), greatest(a, x), {_JOINED[method]},
+    CASE WHEN a < x THEN na + nb ELSE nx END, CASE WHEN a < x THEN nx ELSE na + nb END FROM near)),
+merges AS (SELECT a AS l, b AS r, h, na::BIGINT AS size FROM state WHERE kind = 1),
+grp AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY ts, ws) AS rep FROM vecs)"""
+
+
+def _cluster_labels(merges: str) -> str:
+    return f""", used AS ({merges}),
+follow(id, c) AS (SELECT id, id FROM reps UNION SELECT f.id, u.l FROM follow f JOIN used u ON f.c = u.r),
+ends AS (SELECT id, min(c) AS cluster FROM follow GROUP BY 1)
+SELECT doc_id, cluster FROM grp JOIN ends ON rep = id"""
+
+
+for _method in _JOINED:
+    ORACLES[f"linkage_{_method}"] = f"""{_hierarchy(_method)}
+SELECT l AS "left", r AS "right", round(h, 6) AS height, size FROM merges"""
+for _method, _cut in (("average", 0.2), ("complete", 0.2), ("ward", 0.8)):
+    ORACLES[f"agglomerate_{_method}"] = _hierarchy(_method, _cut) + _cluster_labels("SELECT l, r FROM merges")
+ORACLES["agglomerate_k5"] = _hierarchy("average") + _cluster_labels(
+    "SELECT l, r FROM merges QUALIFY row_number() OVER (ORDER BY round(h, 9) DESC, l DESC, r DESC) > 4"
+)
+ORACLES["document_neighbours"] = f"""WITH {WEIGHTS}, ids AS (SELECT DISTINCT doc_id FROM weights),
+sims AS (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.w * b.w) AS sim FROM weights a JOIN weights b ON a.term = b.term GROUP BY 1, 2)
+SELECT a.doc_id AS i, CAST(row_number() OVER (PARTITION BY a.doc_id ORDER BY coalesce(round(sim, 9), 0) DESC, b.doc_id) AS INTEGER) AS rank,
+  b.doc_id AS j, coalesce(round(sim, 6), 0) AS sim
+FROM ids a JOIN ids b ON a.doc_id <> b.doc_id LEFT JOIN sims ON i = a.doc_id AND j = b.doc_id QUALIFY rank <= 1000"""
+ORACLES["phrase_pairs_all"] = f"""WITH {REPS.replace(_OF_ALL, _OF_PHRASE.replace("'the'", "'license'"))}
+{_PAIRS.replace(f">= {MIN_SIM}", ">= 1e-9")}"""
+ORACLES["row_inertia"] = f"""WITH {WEIGHTS}, docs AS (SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM weights)),
+s AS (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.w * b.w) AS s FROM weights a JOIN weights b ON a.term = b.term GROUP BY 1, 2),
+sizes AS (SELECT lang, count(*) AS m FROM docs GROUP BY 1),
+means AS (SELECT lang, j, sum(s) / any_value(m) AS mean FROM s JOIN docs ON i = doc_id JOIN sizes USING (lang) GROUP BY 1, 2),
+q AS (SELECT i, sum(s * s) AS q FROM s GROUP BY 1),
+mq AS (SELECT lang, sum(mean * mean) AS mm FROM means GROUP BY 1),
+qs AS (SELECT lang, avg(q) AS mean_q FROM q JOIN docs ON i = doc_id GROUP BY 1),
+d AS (SELECT i, lang AS other, sum(s * mean) AS dot FROM s JOIN means USING (j) GROUP BY 1, 2),
+e AS (SELECT docs.doc_id, docs.lang AS own, sizes.lang AS other, m, q - 2 * coalesce(dot, 0) + mean_q AS dist
+  FROM docs JOIN q ON i = docs.doc_id CROSS JOIN sizes JOIN qs ON qs.lang = sizes.lang LEFT JOIN d ON d.i = docs.doc_id AND d.other = sizes.lang),
+ab AS (SELECT doc_id, max(dist * m / (m - 1)) FILTER (own = other AND m > 1) AS a, min(dist) FILTER (own <> other) AS b FROM e GROUP BY 1)
+SELECT (SELECT count(*) FROM docs) AS n, (SELECT count(*) FROM sizes)::INTEGER AS clusters,
+  round((SELECT sum(q) FROM q) - (SELECT sum(m * mm) FROM mq JOIN sizes USING (lang)), 4) AS inertia,
+  (SELECT round(avg(CASE WHEN a IS NULL OR greatest(a, b) <= 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) FROM ab) AS silhouette"""
+ORACLES["paragraph_copies"] = f"""WITH {_grams('A')}, words AS (SELECT term FROM (SELECT unnest(t) AS term FROM toks) GROUP BY 1 HAVING count(*) >= 2),
+lists AS (
+  SELECT doc_id, list(term ORDER BY pos) AS t FROM (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM toks)
+  WHERE term IN (SELECT term FROM words) GROUP BY 1)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS rep FROM lists"""
 ORACLES["cluster_sizes"] = "SELECT label AS cluster, count(*) AS n FROM embeddings GROUP BY 1"
 ORACLES["cluster_summary"] = """SELECT lang AS cluster, count(*) AS n, min(doc_id) AS first_id, arg_min(text, doc_id) AS example
 FROM documents GROUP BY 1"""

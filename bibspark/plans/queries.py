@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import clean, text
 from ..functions.tokens import ngram_range, non_empty, tokens
-from ..operators import dense, evaluate, keywords, linkage, similarity, sorting, stats, tfidf, unify
+from ..operators import dense, evaluate, keywords, linkage, paragraphs, rowmeans, similarity, sorting, stats, tfidf, unify
 from ..operators.numbering import with_ref_id
 from ..session import materialize, work_folder
 from ..sources import bibtex, pages, taxonomy
@@ -347,16 +347,50 @@ def most_similar(spark, sf):
     return similarity.most_similar(_vectors(spark, sf), 0, 5).withColumn("sim", _r("sim"))
 
 
+def _paragraphs(spark, sf, **kw) -> DataFrame:
+    return paragraphs.paragraph_vectors(materialize(_full(spark, sf), "tokens"), **kw)
+
+
 @_query
 def compare_models(spark, sf):
-    """Neighbours of one document by TF-IDF and by the scores of the reduced model."""
-    vectors = _vectors(spark, sf)
-    reduced = similarity.unit_features(dense.svd_scores(vectors, 50))
+    """Neighbours of one document by TF-IDF and by paragraph vectors."""
+    trained = similarity.unit_features(_paragraphs(spark, sf, epochs=8, rounds=2))
     docs = documents(spark, sf).withColumnRenamed("text", "abstract")
-    out = similarity.compare_models({"TF-IDF": vectors, "SVD": reduced}, docs, 0, 5)
+    out = similarity.compare_models({"TF-IDF": _vectors(spark, sf), "Doc2Vec": trained}, docs, 0, 5)
     return out.withColumn("Similitud", _r("Similitud"))
 
 
+@_query
+def paragraph_copies(spark, sf):
+    """Documents with equal paragraph vectors, by the smallest id: those of equal words, and no others."""
+    from pyspark.ml.functions import vector_to_array
+
+    vectors = _paragraphs(spark, sf, epochs=4, rounds=2).select("doc_id", vector_to_array("features").alias("v"))
+    rows = vectors.select("doc_id", F.sha2(F.concat_ws(",", F.transform("v", lambda x: F.round(x, 6)).cast("array<string>")), 256).alias("key"))
+    reps = rows.groupBy("key").agg(F.min("doc_id").alias("rep"))
+    return rows.join(reps, "key").select("doc_id", "rep")
+
+
+@_query
+def paragraph_neighbours(spark, sf):
+    vectors = materialize(_paragraphs(spark, sf), "paragraphs")
+    return dense.top_neighbours(vectors, 1000, "doc_id", "features").withColumn("sim", _r("sim"))
+
+
+@_query
+def document_neighbours(spark, sf):
+    """The 1,000 most similar documents of every document."""
+    return similarity.neighbours(_vectors(spark, sf), 1000).withColumn("sim", _r("sim"))
+
+
+@_query
+def phrase_pairs_all(spark, sf):
+    """Every pair of documents of a rarer phrase that has a common term."""
+    docs = documents(spark, sf).withColumnRenamed("text", "abstract")
+    found = similarity.with_phrase(_vectors(spark, sf), docs, "license")
+    return similarity.cosine_pairs(found, 1e-9).withColumn("sim", _r("sim"))
+
+
 @_query
 def centrality(spark, sf):
     return similarity.centrality(_vectors(spark, sf)).withColumn("score", _r("score"))
@@ -418,7 +452,7 @@ def dense_pairs(spark, sf):
 
 @_query
 def top_neighbours(spark, sf):
-    return dense.top_neighbours(_embeddings(spark, sf), 10).withColumn("sim", _r("sim"))
+    return dense.top_neighbours(_embeddings(spark, sf), 1000).withColumn("sim", _r("sim"))
 
 
 # --- clustering -------------------------------------------------------------------------------
@@ -449,11 +483,29 @@ def agglomerate_k5(spark, sf):
     return linkage.agglomerate_k(_vectors(spark, sf), "average", 5)[0].withColumnRenamed("id", "doc_id")
 
 
+def _linkage(spark, sf, method: str) -> DataFrame:
+    """All merges of the whole corpus."""
+    return linkage.linkage(_vectors(spark, sf), method).withColumn("height", _r("height"))
+
+
 @_query
 def linkage_average(spark, sf):
-    """Merges of the whole corpus up to the cut."""
-    merges = linkage.agglomerate(_vectors(spark, sf), "average", 0.2)[1]
-    return merges.withColumn("height", _r("height"))
+    return _linkage(spark, sf, "average")
+
+
+@_query
+def linkage_single(spark, sf):
+    return _linkage(spark, sf, "single")
+
+
+@_query
+def linkage_complete(spark, sf):
+    return _linkage(spark, sf, "complete")
+
+
+@_query
+def linkage_ward(spark, sf):
+    return _linkage(spark, sf, "ward")
 
 
 @_query
@@ -463,11 +515,18 @@ def sampled_linkage(spark, sf):
 
 @_query
 def sweep_k(spark, sf):
-    scores = materialize(dense.svd_scores(_vectors(spark, sf), 50), "scores")
-    out = evaluate.sweep_k(scores, 2, 10)
+    out = rowmeans.sweep_k(_vectors(spark, sf), 2, 10)
     return out.select("k", _r("inertia").alias("inertia"), _r("silhouette").alias("silhouette"))
 
 
+@_query
+def row_inertia(spark, sf):
+    """Inertia and silhouette of the rows of the similarity matrix, with the language of a document as its cluster."""
+    labels = documents(spark, sf).select("doc_id", F.col("lang").alias("cluster"))
+    out = rowmeans.inertia_of(_vectors(spark, sf), labels)
+    return out.select("n", "clusters", F.round("inertia", 4).alias("inertia"), _r("silhouette").alias("silhouette"))
+
+
 def _labels(spark, sf) -> DataFrame:
     return _embeddings(spark, sf).select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.tokens import non_empty, tokens
-from ..operators import dense, evaluate, keywords, linkage, similarity, stats, tfidf, unify
+from ..operators import evaluate, keywords, linkage, paragraphs, rowmeans, similarity, stats, tfidf, unify
 from ..operators.numbering import with_ref_id
 from ..session import materialize
 from ..sources import bibtex, sinks
@@ -63,20 +63,19 @@ def run_similarity(spark: SparkSession, bib: str, out: str, k: int = 5, doc=None
     labels, merges = linkage.agglomerate_k(vectors, "average", k)
     labels = labels.withColumnRenamed("id", "doc_id")
     sinks.write_clusters(labels, docs, f"{out}/tfidf_clustering_results")
-    trained = materialize(dense.doc_vectors(docs), "dense")
+    trained = paragraphs.paragraph_vectors(docs)
     reference = doc if doc is not None else vectors.agg(F.min("doc_id")).first()[0]
     compared = similarity.compare_models(
         {"TF-IDF": vectors, "Doc2Vec": similarity.unit_features(trained)}, docs, reference, 5
     )
     sinks.write_comparison(compared, f"{out}/comparison_results")
-    rank = min(50, vectors.count())
     return {
         "vectors": vectors,
         "labels": labels,
         "merges": merges,
         "silhouette": evaluate.silhouette(vectors, labels),
         "sizes": evaluate.cluster_sizes(labels),
-        "sweep": evaluate.sweep_k(dense.svd_scores(vectors, rank)),
+        "sweep": rowmeans.sweep_k(vectors),
         "comparison": compared,
     }
 

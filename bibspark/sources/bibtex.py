@@ -208,18 +208,18 @@ def _fields(body: str) -> list[tuple[str, str]]:
 _ENTRY = "entry_type string, cite_key string, stray boolean, pairs array<struct<k:string,v:string>>"
 
 
+def parse_entry(piece: str) -> tuple:
+    """Type, key, whether an ``@`` stands in the body, and the fields; nulls where no record with a key and a comma begins."""
+    kind, brace, inside = piece.partition("{")
+    key, comma, body = inside.partition(",")
+    kind, key = kind.removeprefix("@").rstrip(), key.strip()
+    if brace and comma and piece.startswith("@") and re.fullmatch(r"\w+", kind) and key and not re.search(r"\s", key):
+        return kind.lower(), key, "@" in body, [{"k": k, "v": v} for k, v in _fields(body)]
+    return None, None, None, None
+
+
 def _entry(pieces: pd.Series) -> pd.DataFrame:
-    """Type, key and fields of each piece of text; nulls where no record with a key and a comma begins."""
-    rows = []
-    for piece in pieces:
-        kind, brace, inside = piece.partition("{")
-        key, comma, body = inside.partition(",")
-        kind, key = kind.removeprefix("@").rstrip(), key.strip()
-        if brace and comma and piece.startswith("@") and re.fullmatch(r"\w+", kind) and key and not re.search(r"\s", key):
-            rows.append((kind.lower(), key, "@" in body, [{"k": k, "v": v} for k, v in _fields(body)]))
-        else:
-            rows.append((None, None, None, None))
-    return pd.DataFrame(rows, columns=["entry_type", "cite_key", "stray", "pairs"])
+    return pd.DataFrame([parse_entry(p) for p in pieces], columns=["entry_type", "cite_key", "stray", "pairs"])
 
 
 def _brace_entries(chunks: DataFrame, stray_at: str) -> DataFrame:

@@ -10,7 +10,7 @@ def write_stats(stats: dict[str, DataFrame], folder: str) -> list[str]:
     paths = []
     for name, table in stats.items():
         paths.append(f"{folder}/{name[:31]}")
-        table.write.mode("overwrite").csv(paths[-1], header=True)
+        _csv(table, paths[-1])
     return paths
 
 

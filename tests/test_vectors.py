@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from bibspark.operators import dense, evaluate, linkage, similarity, tfidf
+from bibspark.operators import dense, evaluate, linkage, similarity, tfidf, tiles
 
 DOCS = [(0, ["code", "game"]), (1, ["code", "loop"]), (2, ["code", "game", "game"])]
 
@@ -58,11 +58,19 @@ def vectors(spark):
     return spark.createDataFrame(rows, ["doc_id", "features"]).cache()
 
 
-def test_threshold_join_is_exact(spark, vectors, monkeypatch):
+@pytest.fixture(params=[2048, 8])
+def tile(request, monkeypatch):
+    """One tile, or many tiles of a few rows and panels of fewer."""
+    monkeypatch.setattr(tiles, "TILE", request.param)
+    monkeypatch.setattr(tiles, "LEAST", request.param)
+    monkeypatch.setattr(tiles, "PANEL", request.param // 2 + 1)
+    return request.param
+
+
+def test_threshold_join_is_exact(vectors, tile):
     m = sparse_rows()
     sims = m @ m.T
     reps = [i for i in range(len(m)) if i not in (5, 9)]
-    monkeypatch.setattr(similarity, "BLOCK_ROWS", 4)  # cut hot terms into blocks
     for low in (0.2, 0.6, 1e-12):
         got = {(r.i, r.j): r.sim for r in similarity.cosine_pairs(vectors, low).collect()}
         want = {(i, j) for i in reps for j in reps if i < j and sims[i, j] >= low} | {(2, 2)}
@@ -70,6 +78,35 @@ def test_threshold_join_is_exact(spark, vectors, monkeypatch):
         assert all(abs(got[p] - sims[p]) < 1e-9 for p in want)
 
 
+def test_tiles_without_similar_rows_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "TILE", 10)
+    monkeypatch.setattr(tiles, "LEAST", 10)
+    rows = [(i, Vectors.sparse(20, [(i % 4 * 5 + k, 0.5) for k in range(4)])) for i in range(40)]
+    units = similarity.unit_arrays(spark.createDataFrame(rows, ["doc_id", "features"]))
+    placed, n = tiles.tiled(units.drop("key"))
+    assert n == 4 and tiles.tile_pairs(placed, n, None).count() == 10
+    assert tiles.tile_pairs(placed, n, 0.5).count() == 4  # each group of ten only with itself
+
+
+@pytest.mark.parametrize("n", [3, 200])
+def test_neighbours_of_all(vectors, tile, n):
+    m = sparse_rows()
+    sims = np.round(m @ m.T, 9)
+    want = {}
+    for i in range(len(m)):
+        order = sorted((j for j in range(len(m)) if j != i), key=lambda j: (-sims[i, j], j))[:n]
+        want |= {(i, k + 1): j for k, j in enumerate(order)}
+    assert {(r.i, r["rank"]): r.j for r in similarity.neighbours(vectors, n).collect()} == want
+
+
+def test_copies_by_term_counts(spark):
+    rows = [(0, ["a", "b", "b"]), (1, ["b", "a", "b", "a", "b", "b"]), (2, ["a", "b"]), (3, ["b", "a"] * 3), (4, ["c"]), (5, [])]
+    docs = corpus(spark, rows)
+    model = tfidf.tfidf(docs, tfidf.vocabulary(docs, min_df=1, max_df=1.0, ngram=(1, 1)))
+    got = {r.id: r.rep for r in similarity.copies(similarity.unit_arrays(model)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
+
+
 def test_sums_without_pairs(spark, vectors):
     m = sparse_rows()
     sims = m @ m.T
@@ -83,36 +120,94 @@ def test_sums_without_pairs(spark, vectors):
     assert best == order[:3]
 
 
-def partition_of(distance, method, cut=None, k=None):
-    steps = linkage._small_linkage(distance, np.arange(len(distance)), method)
-    steps = steps[steps.height <= cut] if k is None else steps.iloc[: len(distance) - k]
-    label = list(range(len(distance)))
-    for a, b in zip(steps.left, steps.right):
+def sequential(distance, method, cut=np.inf):
+    """All merges of a distance matrix, one after another: the plain version. Heights that agree in nine digits are equal."""
+    d = {(i, j): distance[i, j] for i in range(len(distance)) for j in range(i)}
+    at = lambda i, j: d[max(i, j), min(i, j)]
+    size, steps = {i: 1 for i in range(len(distance))}, []
+    while len(size) > 1:
+        h, a, b = min((round(at(i, j), 9), i, j) for i in size for j in size if i < j)
+        if h > cut:
+            break
+        na, nb = size[a], size[b]
+        for x in size:
+            if x not in (a, b):
+                p, q, n = at(a, x), at(b, x), size[x]
+                new = {"single": min(p, q), "complete": max(p, q), "average": (na * p + nb * q) / (na + nb)}
+                new["ward"] = np.sqrt(max(((na + n) * p * p + (nb + n) * q * q - n * h * h) / (na + nb + n), 0))
+                d[max(a, x), min(a, x)] = new[method]
+        size[a] += size.pop(b)
+        steps.append((a, b, h, size[a]))
+    return steps
+
+
+def partition_of(steps, n):
+    label = list(range(n))
+    for a, b, *_ in steps:
         label = [a if x == b else x for x in label]
     return dict(enumerate(label))
 
 
+@pytest.fixture(params=["one cell", "small cells"])
+def cells(request, monkeypatch):
+    if request.param == "small cells":
+        for module, name, value in ((tiles, "TILE", 24), (tiles, "LEAST", 24), (tiles, "PANEL", 7), (linkage, "CELL", 20), (linkage, "WIDE", 5), (linkage, "NEAREST", 4), (linkage, "RUN", 20)):
+            monkeypatch.setattr(module, name, value)
+    return request.param
+
+
+def merges_of(df):
+    return sorted((round(r.height, 6), r.left, r.right, r["size"]) for r in df.collect())
+
+
 @pytest.mark.parametrize("method", linkage.METHODS)
-@pytest.mark.parametrize("small", [1500, 1])
-def test_agglomerate_equals_sequential(spark, vectors, method, small, monkeypatch):
-    monkeypatch.setattr(linkage, "SMALL_COMPONENT", small)
+def test_linkage_equals_sequential(vectors, method, cells):
     m = sparse_rows()
-    labels, _ = linkage.agglomerate(vectors, method, 0.5)
-    got = {r.id: r.cluster for r in labels.collect()}
-    assert got == partition_of(np.clip(1 - m @ m.T, 0, None), method, cut=0.5)
+    steps = sequential(np.clip(1 - m @ m.T, 0, None), method)
+    want = sorted((round(h, 6), a, b, n) for a, b, h, n in steps if (a, b) not in ((2, 5), (2, 9)))
+    assert merges_of(linkage.linkage(vectors, method)) == want
+    labels, merges = linkage.agglomerate(vectors, method, 0.6)
+    assert {r.id: r.cluster for r in labels.collect()} == partition_of([s for s in steps if s[2] <= 0.6], len(m))
+    assert merges_of(merges) == [w for w in want if w[0] <= 0.6]
 
 
-def test_wanted_number_of_clusters(spark, vectors):
+@pytest.mark.parametrize("method", linkage.METHODS)
+def test_ties_and_copies(spark, method, cells):
+    """Few different vectors: many equal distances, many copies, and documents without a common term."""
+    rng = np.random.default_rng(8)
+    m = np.zeros((36, 8))
+    for i in range(36):
+        m[i, rng.choice(6 if i < 30 else 8, 2, replace=False)] = 1
+    m[33:] = 0
+    m[33:, 7] = 1
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    rows = [(i, Vectors.sparse(8, [(int(c), float(r[c])) for c in np.nonzero(r)[0]])) for i, r in enumerate(m)]
+    frame = spark.createDataFrame(rows, ["doc_id", "features"])
+    steps = sequential(np.clip(1 - m @ m.T, 0, None), method)
+    heights = [round(r[0], 6) for r in merges_of(linkage.linkage(frame, method))]
+    if cells == "one cell" or method == "single":
+        merged = linkage.agglomerate(frame, method, 0.6)[0]
+        assert {r.id: r.cluster for r in merged.collect()} == partition_of([s for s in steps if s[2] <= 0.6], 36)
+        assert heights == sorted(round(s[2], 6) for s in steps)[36 - 1 - len(heights) :]
+    assert len(heights) == len(np.unique(m, axis=0)) - 1
+
+
+@pytest.mark.parametrize("method", ["average", "single", "ward"])
+def test_wanted_number_of_clusters(vectors, method):
     m = sparse_rows()
-    labels, _ = linkage.agglomerate_k(vectors, "average", 5)
-    got = {r.id: r.cluster for r in labels.collect()}
-    assert got == partition_of(np.clip(1 - m @ m.T, 0, None), "average", k=5)
+    labels, _ = linkage.agglomerate_k(vectors, method, 5)
+    steps = sequential(np.clip(1 - m @ m.T, 0, None), method)
+    assert {r.id: r.cluster for r in labels.collect()} == partition_of(steps[: len(m) - 5], len(m))
 
 
-def test_sampled_linkage(spark, vectors):
+def test_sampled_linkage(vectors):
     tree = linkage.sampled_linkage(vectors, 30).orderBy("step").collect()
     heights = [r.height for r in tree]
     assert len(tree) == 29 and tree[-1]["size"] == 30 and heights == sorted(heights)
+    ids = sorted(r.doc_id for r in linkage.sample_docs(vectors, 30).collect())
+    m = sparse_rows()[ids]
+    steps = sequential(np.clip(1 - m @ m.T, 0, None), "ward")
+    assert [(r.left, r.right, round(r.height, 6), r["size"]) for r in tree] == [(ids[a], ids[b], round(h, 6), n) for a, b, h, n in steps]
 
 
 def test_dense_pairs_and_neighbours(spark, monkeypatch):
@@ -150,8 +245,9 @@ def test_svd_scores_match_the_similarity_matrix(spark, vectors):
     assert np.allclose(np.abs(ours), np.abs(u[:, :4] * s[:4]), atol=1e-6)
 
 
-def test_documents_without_common_terms_join_in_id_order(spark):
-    rows = [(i, Vectors.sparse(9, [(i, 1.0)])) for i in range(9)]
-    labels, merges = linkage.agglomerate_k(spark.createDataFrame(rows, ["doc_id", "features"]), "average", 4)
-    assert {r.id: r.cluster for r in labels.collect()} == {i: 0 if i < 6 else i for i in range(9)}
-    assert {r.height for r in merges.collect()} == {1.0}
+@pytest.mark.parametrize("method", ["average", "complete", "single"])
+def test_documents_without_common_terms_join_in_id_order(spark, method, cells):
+    rows = [(i, Vectors.sparse(40, [(i, 1.0)])) for i in range(40)]
+    labels, merges = linkage.agglomerate_k(spark.createDataFrame(rows, ["doc_id", "features"]), method, 4)
+    assert {r.id: r.cluster for r in labels.collect()} == {i: 0 if i < 37 else i for i in range(40)}
+    assert [(r.height, r["size"]) for r in merges.orderBy("right").collect()] == [(1.0, i + 2) for i in range(36)]
