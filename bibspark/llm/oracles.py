@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality import CURRENT, RULES, mask
+from .quality import CURRENT, POLICIES, RULES, mask
 from .recompress import WINDOW
 from .secret_scan import BASE, RULES as SECRETS
 
@@ -50,11 +50,24 @@ m AS (
     FROM w LEFT JOIN covered USING (r)
 ),
 b AS (SELECT *, ({_BITS})::INTEGER AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & {mask("base")}) <> 0 AS base_failed,
+"""
+_LEDGER = QUALITY
+QUALITY += f"""SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & {mask("base")}) <> 0 AS base_failed,
     (fail_bits & {mask("base") | mask(CURRENT)}) = 0 AS kept, fail_bits
 FROM b
 """
 
+_RULES = ", ".join(f"('{p}', '{r}', {mask(names)}, {mask([r])})" for p, names in POLICIES.items() for r in names)
+
+ABLATIONS = f"""{_LEDGER}, rules(policy, rule, all_bits, bit) AS (VALUES {_RULES})
+SELECT policy, rule, count(*) FILTER ((fail_bits & bit) <> 0) AS n_failed, count(*) FILTER ((fail_bits & all_bits) = bit) AS n_only
+FROM rules CROSS JOIN b GROUP BY 1, 2
+"""
+
+POLICY_VERDICTS = f"""{_LEDGER}
+SELECT doc_id, {", ".join(f"(fail_bits & {mask(p)}) = 0 AS {p}" for p in POLICIES)} FROM b
+"""
+
 CONTAMINATION = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark),
@@ -119,4 +132,6 @@ ORACLES = {
     "op3_benchmark_decontamination": CONTAMINATION,
     "op4_substring_dedup": SUBSTRINGS,
     "op11_secret_scan": SECRET_SPANS,
+    "quality_ablations": ABLATIONS,
+    "quality_policies": POLICY_VERDICTS,
 }

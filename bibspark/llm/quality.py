@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import packed, unpacked
+from .shared import Stages, packed, unpacked
 
 _SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
@@ -126,6 +126,16 @@ def ablations(rows: DataFrame, policies: dict[str, list[str]] | None = None) ->
     )
 
 
+def verdicts(rows: DataFrame, policies: list[str] | None = None) -> DataFrame:
+    """A ledger's ``doc_id`` and the verdict of each policy: all versions from the same stored bits."""
+    return rows.select("doc_id", *[passes(p).alias(p) for p in policies or POLICIES])
+
+
+def stored_ledger(docs: DataFrame, stages: Stages) -> DataFrame:
+    """The ledger of ``doc_id, text``, written once: ``doc_id``, the measurements and ``fail_bits``."""
+    return stages.keep(ledger(docs.select("doc_id", "text")).drop("text"), "ledger")
+
+
 def quality_report(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """One row per document: ``doc_id, n_words``, the four base measurements, ``base_failed``, ``kept``, ``fail_bits``.
 

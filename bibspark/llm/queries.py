@@ -13,10 +13,10 @@ from .lattice import lattice_scores
 from .licenses import license_scan
 from .ngram_join import ngram_jaccard_join
 from .packing import pack
-from .quality import quality_report
+from .quality import ablations, quality_report, stored_ledger, verdicts
 from .recompress import dedup_substrings
 from .secret_scan import secret_report
-from .shared import benchmark, documents, embeddings, pages
+from .shared import Stages, benchmark, documents, embeddings, pages
 from .tokens import token_counts
 from .urls import judge_urls
 from .whitening import whiten
@@ -32,6 +32,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(documents(spark, sf_dir))
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ablations(stored_ledger(documents(spark, sf_dir), Stages(spark)))
+
+
+def quality_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(stored_ledger(documents(spark, sf_dir), Stages(spark)))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -81,4 +89,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_quality_rules, op3_benchmark_decontamination, op4_substring_dedup, op5_language_id,
     op6_packing, op7_license_scan, op8_lm_scoring, op9_url_filters, op10_token_counts,
     op11_secret_scan, op12_embedding_whitening, op13_cross_tokenizer_alignment,
+    quality_ablations, quality_policies,
 )}
