@@ -41,6 +41,8 @@ PERCENT = 90
 _CLASS_RATIO = 1.25
 #: Members in a block of the difference products, and how often an open member is picked as a further lead before them.
 MEMBERS, TURNS = 512, 2
+#: Bits of the table that holds back texts nobody asks for.
+KEY_BITS = 24
 
 
 def _per_difference(percent: int) -> tuple[int, int]:
@@ -170,6 +172,23 @@ def _sets_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return _keyed(docs).mapInArrow(name, f"doc_id {kind}, key long, n_shingles long, set_id long, lists array<long>")
 
 
+def _maybe_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Leave out texts whose ``key`` is certainly not wanted before any is sent: by one bit a key in a table of fixed size."""
+    bit = f"key & {(1 << KEY_BITS) - 1}"
+    words = wanted.selectExpr(f"CAST(shiftright({bit}, 6) AS int) AS word", f"shiftleft(1L, CAST({bit} & 63 AS int)) AS bit")
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most a word for 64 bits of the table
+    table = np.zeros(1 << KEY_BITS - 6, np.uint64)
+    table[found.word.to_numpy(np.int64)] = found.bits.to_numpy(np.int64).view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf("boolean")
+    def maybe(keys: pa.Array) -> pa.Array:
+        at = keys.to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64((1 << KEY_BITS) - 1)
+        return pa.array((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return texts.where(maybe("key"))
+
+
 def _elements(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``set_id, elements binary`` of the wanted sets (``set_id, doc_id, key`` of one text each)."""
 
@@ -182,7 +201,7 @@ def _elements(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 yield out.filter(pa.array(same))
 
     # a row may stand several times, or two texts may have one key; only the named set's text counts
-    texts = with_owners(_keyed(docs), wanted, "inner").select("set_id", "text")
+    texts = with_owners(_maybe_wanted(_keyed(docs), wanted), wanted, "inner").select("set_id", "text")
     return texts.mapInArrow(cut, "set_id long, elements binary").dropDuplicates(["set_id"])
 
 
@@ -271,6 +290,14 @@ def _lead_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return links
 
 
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs of the leads that are not in one component with all their members."""
+    own = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part"))
+    placed = pairs.join(own("member"), "member", "left").join(own("lead"), "lead", "left")
+    apart = F.coalesce("member_part", "member") != F.coalesce("lead_part", "lead")
+    return pairs.join(placed.where(apart).select("lead").distinct(), "lead", "left_semi")
+
+
 def _placed(compared: DataFrame, parts: DataFrame) -> DataFrame:
     """Members with their components, of the leads whose members are in several. ``open``: not in the largest one."""
     own = parts.select(F.col("node").alias("member"), "component")
@@ -372,14 +399,25 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
     wanted = pairs.select(F.col("lead").alias("set_id")).union(pairs.select(F.col("member").alias("set_id"))).distinct()
     elements = stages.keep(_elements(docs, named.join(wanted, "set_id").select("set_id", "owner.doc_id", "owner.key"), shingle), "elements")
     stages.release()
-    both = pairs.join(elements.withColumnRenamed("set_id", "member"), "member").join(elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements")), "lead")
-    compared = stages.keep(_compare(both), "compared")
-    stages.drop("pairs", "elements")
-    stages.release()
     per, each = _per_difference(percent)
-    linked = compared.where(per * F.length("diff") / 8 <= each * (F.col("n_lead") + F.col("n_member"))).select(F.col("lead").alias("a"), F.col("member").alias("b"))
+
+    def compare(some: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """The differences of pairs, and the links among them."""
+        lead = elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements"))
+        both = some.join(elements.withColumnRenamed("set_id", "member"), "member").join(lead, "lead")
+        found = stages.keep(_compare(both), name)
+        stages.release()
+        near = per * F.length("diff") / 8 <= each * (F.col("n_lead") + F.col("n_member"))
+        return found, found.where(near).select(F.col("lead").alias("a"), F.col("member").alias("b"))
+
     edges = lambda parts: parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    parts = stages.keep(components(linked, stages, "linked"), "parts-0")
+    # one lead a member first; then the leads whose sets are not all in one component
+    _, links = compare(pairs.groupBy("member").agg(F.min("lead").alias("lead")), "nearest")
+    parts = stages.keep(components(links, stages, "nearest-parts"), "parts-n")
+    stages.drop("nearest")
+    compared, links = compare(_apart(pairs, parts), "compared")
+    stages.drop("pairs", "elements")
+    parts = stages.keep(components(edges(parts).union(links), stages, "linked"), "parts-0")
     for turn in range(1, TURNS + 2):
         rows = stages.keep(_placed(compared, parts), f"rows-{turn}")
         if rows.isEmpty():
