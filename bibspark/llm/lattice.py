@@ -4,9 +4,10 @@ The pieces of an existing vocabulary span a lattice over the bytes of each word;
 A word's probability is the sum over all paths of the product of the pieces' probabilities, found by a forward
 recursion in log space, and a text's log probability is the sum over its words and its end.
 
-The pieces are taken as they are. Their probabilities are estimated from the training texts: words are counted
-over the whole corpus, the lattice of each distinct word shares its count among the pieces of its segmentations,
-and the expected counts are normalised.
+The pieces and their scores are taken from the file. Log probabilities are used as they are; a file with merge ranks
+gives each piece the weight of its rank by Zipf's law. From there the weights are fitted to the training texts: words are
+counted over the whole corpus, the lattice of each distinct word shares its count among the pieces of its segmentations,
+and the expected counts are normalised, until the likelihood of the training words hardly grows.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from .arrays import CHUNK_BYTES, PLAIN, Words, chunks, ragged_ranges, span_hashe
 from .shared import Stages, crc_of_id, split_by
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Bytes of words in one lattice, and rounds of re-estimation.
-CELLS, ROUNDS = 1 << 16, 1
+#: Bytes of words in one lattice.
+CELLS = 1 << 16
+#: Rounds of fitting at most, and the relative growth of the log likelihood from which another round follows.
+ROUNDS, TOLERANCE = 4, 1e-3
 #: Words with at least this share of all tokens are looked up in a broadcast table of 24 bytes a row; as shares
 #: add up to one, it has a million rows at most.
 COMMON_SHARE = 1e-6
@@ -94,20 +97,21 @@ class Lattice:
             out[part] = self.forward(self.arcs(own)[0])[np.arange(len(own)), [len(w) for w in own]]
         return out
 
-    def expected_counts(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """How often each piece is expected in the words, each as often as counted."""
-        out = np.zeros(len(self.pieces))
+    def expected_counts(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, float]:
+        """How often each piece is expected in the words, each as often as counted, and the words' log likelihood."""
+        out, likelihood = np.zeros(len(self.pieces)), 0.0
         for part in _by_length(words):
             own = [words[i] for i in part]
             sizes = np.array([len(w) for w in own])
             logs, piece = self.arcs(own)
             alpha, beta = self.forward(logs), self.backward(logs, sizes)
             total = beta[:, 0]
+            likelihood += float(total @ counts[part])
             for n in range(1, logs.shape[2] + 1):
                 row, begin = np.nonzero(piece[:, :, n - 1] >= 0)
                 share = np.exp(alpha[row, begin] + logs[row, begin, n - 1] + beta[row, begin + n] - total[row])
                 out += np.bincount(piece[row, begin, n - 1], share * counts[part][row], len(out))
-        return out
+        return out, likelihood
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
@@ -129,14 +133,24 @@ def _by_length(words: list[bytes]) -> Iterator[np.ndarray]:
         at += n
 
 
-def vocabulary(path: str) -> list[bytes]:
-    """The ordinary pieces of a sentencepiece file that can stand in one word, and one piece for each byte."""
+def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
+    """The ordinary pieces of a sentencepiece file that can stand in one word, one piece for each byte, and their logs.
+
+    Bytes that are no pieces of the file are as likely as its last piece.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-    pieces = {p for p in (model.id_to_piece(i).encode() for i in ids) if _BEGIN not in p[1:]}
-    return sorted(pieces | {bytes([b]) for b in range(256)})
+    scores = np.array([model.get_score(i) for i in ids])
+    if len(set(scores.tolist())) == len(scores) and np.all(scores == np.round(scores)):
+        scores = -np.log(scores.max() - scores + 2)  # merge ranks
+    logs = {p: s for p, s in zip((model.id_to_piece(i).encode() for i in ids), scores.tolist()) if _BEGIN not in p[1:]}
+    for b in range(256):
+        logs.setdefault(bytes([b]), float(scores.min()))
+    pieces = sorted(logs)
+    out = np.array([logs[p] for p in pieces])
+    return pieces, out - np.log(np.exp(out).sum())
 
 
 def _ragged_binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -163,30 +177,37 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("h", "word").agg(F.sum("c").alias("c"))
 
 
-def _initial_logs(pieces: list[bytes]) -> np.ndarray:
-    """Before anything is counted all pieces of a length are alike, and longer ones less likely."""
-    return -np.log(256.0) - 0.7 * np.array([len(p) for p in pieces])
-
-
-def _estimate(words: DataFrame, pieces: list[bytes], logs: np.ndarray) -> np.ndarray:
-    """One round of expectation: new log probabilities, with one added to each expected count."""
+def _estimate(words: DataFrame, pieces: list[bytes], logs: np.ndarray) -> tuple[np.ndarray, float]:
+    """One round of expectation: new log probabilities, one added to each expected count, and the old ones' log likelihood."""
     shared = words.sparkSession.sparkContext.broadcast((pieces, logs))
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, total = Lattice(*shared.value), None
+        lattice, total, likelihood = Lattice(*shared.value), np.zeros(len(pieces)), 0.0
         for batch in batches:
             own = [_BEGIN + w for w in batch.column("word").to_pylist()]
-            counts = lattice.expected_counts(own, batch.column("c").to_numpy()) if own else 0
-            total = counts if total is None else total + counts
-        if total is not None and np.ndim(total):
-            some = np.flatnonzero(total)
-            yield pa.record_batch([pa.array(some, pa.int64()), pa.array(total[some])], ["piece", "n"])
+            if own:
+                counts, more = lattice.expected_counts(own, batch.column("c").to_numpy())
+                total, likelihood = total + counts, likelihood + more
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(np.append(some, -1), pa.int64()), pa.array(np.append(total[some], likelihood))], ["piece", "n"])
 
     rows = words.where("c > 0").select("word", "c").mapInArrow(expect, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     found = rows.toPandas()  # one row a piece of the vocabulary
+    known = found.piece.to_numpy(np.int64) >= 0
     counts = np.ones(len(pieces))
-    counts[found.piece.to_numpy(np.int64)] += found.n.to_numpy(float)
-    return np.log(counts / counts.sum())
+    counts[found.piece.to_numpy(np.int64)[known]] += found.n.to_numpy(float)[known]
+    return np.log(counts / counts.sum()), float(found.n.to_numpy(float)[~known].sum())
+
+
+def fitted(words: DataFrame, pieces: list[bytes], logs: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """The log probabilities after at most so many rounds over counted words (``word, c``)."""
+    before = None
+    for _ in range(rounds):
+        following, likelihood = _estimate(words, pieces, logs)
+        if likelihood == 0 or before is not None and likelihood - before < TOLERANCE * abs(before):
+            break  # nothing to learn from, or the last round has changed little
+        logs, before = following, likelihood
+    return logs
 
 
 def lattice_scores(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS, held: int = 2, divisor: int = 7) -> DataFrame:
@@ -196,16 +217,13 @@ def lattice_scores(docs: DataFrame, path: str | None = None, rounds: int = ROUND
     training tokens; ``score`` sums the log10 lattice probability of each word, times the share of words among
     tokens, and the log10 share of ends. Null texts are empty: one token, the end. Repeated rows count and return
     as often as they stand; extra columns are ignored; without training rows nothing is known and the pieces keep
-    their initial probabilities; an empty table gives no rows.
+    the file's weights; an empty table gives no rows.
     """
     stages = Stages(docs.sparkSession)
-    pieces = vocabulary(path or public_tokenizers.path(VOCABULARY))
-    logs = _initial_logs(pieces)
-    logs -= np.log(np.exp(logs).sum())
+    pieces, logs = vocabulary(path or public_tokenizers.path(VOCABULARY))
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), split_by(crc_of_id(), divisor, held).alias("held_out"))
     counted = stages.keep(_word_counts(docs), "counted")
-    for _ in range(rounds):
-        logs = _estimate(counted, pieces, logs)
+    logs = fitted(counted, pieces, logs, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((pieces, logs))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

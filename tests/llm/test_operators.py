@@ -237,8 +237,47 @@ def test_lattice_sums_all_segmentations():
     known = lattice.Lattice(pieces, logs)
     expected = [brute.lattice_log10(w, dict(zip(pieces, logs))) for w in words]
     assert np.allclose(known.log_probabilities(words) / np.log(10), expected)
-    counts = known.expected_counts(words, np.ones(4))
-    assert np.isclose((counts * [len(p) for p in pieces]).sum(), sum(map(len, words)))
+    counts, likelihood = known.expected_counts(words, np.array([1.0, 2, 1, 3]))
+    assert np.isclose(likelihood, np.log(10) * (np.array(expected) @ [1, 2, 1, 3]))
+    plain = dict.fromkeys(pieces, 0.0)
+
+    def ways(word):
+        return [[]] if not word else [[p, *rest] for p in pieces if word.startswith(p) for rest in ways(word[len(p) :])]
+
+    for word, n in zip(words, (1, 2, 1, 3)):
+        weighed = [(np.exp(sum(logs[pieces.index(p)] for p in way)), way) for way in ways(word)]
+        for weight, way in weighed:
+            for p in way:
+                plain[p] += n * weight / sum(w for w, _ in weighed)
+    assert np.allclose(counts, [plain[p] for p in pieces])
+
+
+def test_lm_scores_of_documents(spark, docs):
+    """The score of each text from the fitted weights, word by word, against all its segmentations."""
+    rows = [(i, t) for i, t in corpus() if i not in (7, 36)]  # the plain version is slow on the long texts
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(((r.doc_id, r.score) for r in lattice.lattice_scores(table).collect()))
+    pieces, logs = lattice.vocabulary(lattice.public_tokenizers.path(lattice.VOCABULARY))
+    assert np.isclose(np.exp(logs).sum(), 1) and logs[pieces.index("▁the".encode())] > logs[pieces.index(b"\xff")]
+    texts = [(i, brute.WORD.findall(brute.lower(t)), zlib.crc32(str(i).encode()) % 7 == 2) for i, t in rows]
+    counted = brute.Counter(w for _, own, out in texts if not out for w in own)
+    words = spark.createDataFrame([(w.encode(), n) for w, n in counted.items()], "word binary, c long")
+    known = dict(zip(pieces, lattice.fitted(words, pieces, logs)))
+    ends = sum(not out for *_, out in texts)
+    share = (ends + 1) / (sum(counted.values()) + ends + 2)
+    one = {w: brute.lattice_log10("▁".encode() + w.encode(), known) for w in {w for _, own, _ in texts for w in own}}
+    expected = sorted((i, sum(one[w] for w in own) + len(own) * np.log10(1 - share) + np.log10(share)) for i, own, _ in texts)
+    assert [i for i, _ in found] == [i for i, _ in expected]
+    assert np.allclose([s for _, s in found], [s for _, s in expected], rtol=1e-9)
+
+
+def test_lattice_fit_ends_when_it_hardly_gains(spark):
+    pieces, logs = [b"a", b"b", b"ab", lattice._BEGIN], np.log(np.full(4, 0.25))
+    words = spark.createDataFrame([(b"abab", 10), (b"ab", 5), (b"zz", 0)], "word binary, c long")
+    once, likelihood = lattice._estimate(words, pieces, logs)
+    again, better = lattice._estimate(words, pieces, once)
+    assert better > likelihood and np.allclose(lattice.fitted(words, pieces, logs, 1), once)
+    assert np.allclose(lattice.fitted(words.where("c = 0"), pieces, logs), logs)
 
 
 def test_urls(spark):
