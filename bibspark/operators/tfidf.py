@@ -3,8 +3,8 @@
 The vocabulary is an exact top-k by corpus frequency. Both document and corpus
 frequency of an n-gram are bounded by those of the (n-1)-grams inside it, so
 longer n-grams are counted only where both of their parts can still make the
-list; the exchange then carries candidates instead of every n-gram of the
-corpus. Vectors are computed row by row from a fixed-size vocabulary: no
+list, and only if the slot of a count sketch that they share with others is
+full enough; what cannot make the list never leaves its row. Vectors are computed row by row from a fixed-size vocabulary: no
 exchange at all.
 """
 
@@ -22,6 +22,9 @@ from ..functions.tokens import keep_if, ngram_range, ngrams
 from ..session import materialize
 
 
+SKETCH = 1 << 18  # slots of a count sketch
+
+
 class EmptyCorpus(ValueError):
     """No document holds a token."""
 
@@ -45,14 +48,37 @@ class Vocabulary:
         return [math.log((1 + self.n) / (1 + d)) + 1 for d in self.df]
 
 
-def gram_counts(docs: DataFrame, n: int, parts: DataFrame | None = None) -> DataFrame:
+def _slot(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(SKETCH)).cast("int")
+
+
+def _full_slots(docs: DataFrame, n: int, least: int) -> DataFrame:
+    """One row, ``bits array<long>``: the slots whose n-grams together occur ``least`` times or more.
+
+    A task sends at most one count per slot, however many n-grams it has.
+    """
+    slots = docs.select(F.explode(F.transform(ngrams(F.col("tokens"), n), _slot)).alias("slot"))
+    full = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("cf")).filter(F.col("cf") >= least)
+    words = full.groupBy(F.expr("slot div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("bits"))
+    every = docs.sparkSession.range(SKETCH // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    listed = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(listed.alias("_w")).select(F.col("_w.bits").alias("bits"))
+
+
+def gram_counts(docs: DataFrame, n: int, parts: DataFrame | None = None, least: int = 0) -> DataFrame:
     """``term, df, cf`` of the n-grams of one order, in a single aggregation.
 
     The n-grams of a row are sorted, so the first of each run stands for the
     document and no (document, term) exchange is needed. With ``parts`` only
-    n-grams whose first and last (n-1)-gram are listed there are counted.
+    n-grams whose first and last (n-1)-gram are listed there are counted. With
+    ``least`` those that cannot occur so often are left out in the row: they
+    share a slot of a count sketch, an upper bound, that is not full.
     """
-    rows = docs.select(F.sort_array(ngrams(F.col("tokens"), n)).alias("g"))
+    found = ngrams(F.col("tokens"), n)
+    if least > 1:
+        docs = docs.select("tokens").join(F.broadcast(_full_slots(docs, n, least)))  # one row of fixed size
+        found = F.filter(found, lambda g: F.getbit(F.element_at("bits", F.expr("1") + F.floor(_slot(g) / 64).cast("int")), F.pmod(_slot(g), F.lit(64))) == 1)
+    rows = docs.select(F.sort_array(found).alias("g"))
     marked = F.transform(
         "g", lambda g, i: F.struct(g.alias("term"), ((i == 0) | (g != F.get("g", i - 1))).cast("int").alias("first"))
     )
@@ -85,7 +111,7 @@ def vocabulary(
     eligible: list[DataFrame] = []
     parts, bound = None, 0
     for order in range(1, high + 1):
-        counted = gram_counts(docs, order, parts)
+        counted = gram_counts(docs, order, parts, bound if parts is not None else 0)
         counted = materialize(counted.filter(F.col("df") >= min_df), f"grams{order}")
         if order >= low:
             eligible.append(counted.filter(fits))

@@ -23,7 +23,9 @@ def test_tfidf_fixture(spark):
         tfidf.vocabulary(corpus(spark, [(0, [])]))
 
 
-def test_vocabulary_equals_plain_counting(spark):
+@pytest.mark.parametrize("slots", [1 << 18, 64])
+def test_vocabulary_equals_plain_counting(spark, monkeypatch, slots):
+    monkeypatch.setattr(tfidf, "SKETCH", slots)
     rng = np.random.default_rng(5)
     rows = [(i, [f"w{k}" for k in rng.zipf(1.5, 30) if k < 40]) for i in range(80)]
     df, cf = {}, {}
