@@ -7,6 +7,8 @@ task and every run; they depend on the bytes only.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -58,8 +60,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def trim() -> None:
+    """Give memory that is no longer used back to the system: Python workers outlive their tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows with about ``limit`` bytes of text; a longer text is a run by itself."""
+    """Cut a batch into runs of rows with about ``limit`` bytes of text; a longer text is a run by itself.
+
+    Behind the last run, memory that is free goes back to the system.
+    """
     sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
@@ -68,6 +80,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         stop = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(at, stop - at)
         at = stop
+    trim()
 
 
 #: Called to drop what a Python worker keeps of another operator's words; workers outlive their stage.

@@ -40,7 +40,7 @@ PERCENT = 90
 #: Ratio of the bounds of a size class, where the largest ratio of the sizes of linked sets is not above it.
 _CLASS_RATIO = 1.25
 #: Members in a block of the difference products, and how often an open member is picked as a further lead before them.
-MEMBERS, TURNS = 512, 2
+MEMBERS, TURNS = 512, 1
 #: Bits of the table that holds back texts nobody asks for.
 KEY_BITS = 24
 
