@@ -40,7 +40,7 @@ PERCENT = 90
 #: Ratio of the bounds of a size class, where the largest ratio of the sizes of linked sets is not above it.
 _CLASS_RATIO = 1.25
 #: Members in a block of the difference products, and how often an open member is picked as a further lead before them.
-MEMBERS, TURNS = 512, 1
+MEMBERS, TURNS = 512, 2
 #: Bits of the table that holds back texts nobody asks for.
 KEY_BITS = 24
 
@@ -280,7 +280,7 @@ def _lead_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per, each = _per_difference(percent)
-        for batch in batches:
+        for batch in (b.slice(i, MEMBERS) for b in batches for i in range(0, b.num_rows, MEMBERS)):
             picked, member = (batch.column(c).to_pylist() for c in ("picked_diff", "diff"))
             total = batch.column("n_picked").to_numpy() + batch.column("n_member").to_numpy()
             apart = [len(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(picked, member)]
@@ -418,6 +418,7 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
     compared, links = compare(_apart(pairs, parts), "compared")
     stages.drop("pairs", "elements")
     parts = stages.keep(components(edges(parts).union(links), stages, "linked"), "parts-0")
+    stages.release()
     for turn in range(1, TURNS + 2):
         rows = stages.keep(_placed(compared, parts), f"rows-{turn}")
         if rows.isEmpty():

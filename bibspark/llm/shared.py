@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -41,6 +42,7 @@ class Stages:
     def release(self) -> None:
         """Let go of the shuffle files of finished jobs: Spark removes them with the driver's objects that stand for them."""
         gc.collect()
+        time.sleep(1)  # the driver's Python lets go of its Java objects a little later
         self.spark._jvm.System.gc()
 
 
