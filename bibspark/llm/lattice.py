@@ -26,7 +26,7 @@ VOCABULARY = "piece_bpe_32k.model"
 #: Bytes of words in one lattice.
 CELLS = 1 << 16
 #: Rounds of fitting at most, and the relative growth of the log likelihood from which another round follows.
-ROUNDS, TOLERANCE = 4, 1e-3
+ROUNDS, TOLERANCE = 2, 1e-3
 #: Words with at least this share of all tokens are looked up in a broadcast table of 24 bytes a row; as shares
 #: add up to one, it has a million rows at most.
 COMMON_SHARE = 1e-6
