@@ -12,6 +12,8 @@ FAST = [
     "clean_fields", "type_share", "top_journals", "unify_records", "duplicate_files", "bib_roundtrip",
     "bib_roundtrip_drop", "bib_line_mode", "keyword_freq", "cooccurrence_graph", "token_lists", "sorted_titles",
     "year_expanded", "year_buckets", "records_acm", "records_ieee", "records_sage", "records_springer",
+    "bib_format", "page_links", "page_articles", "word_freq", "corpus_whole_words", "automaton_matches", "stats_csv_cells",
+    "document_copies", "phrase_pairs_all", "document_neighbours", "linkage_single", "linkage_ward", "agglomerate_k5", "row_inertia",
 ]
 
 
