@@ -7,7 +7,7 @@ recursion in log space, and a text's log probability is the sum over its words a
 The pieces and their scores are taken from the file. Log probabilities are used as they are; a file with merge ranks
 gives each piece the weight of its rank by Zipf's law. From there the weights are fitted to the training texts: words are
 counted over the whole corpus, the lattice of each distinct word shares its count among the pieces of its segmentations,
-and the expected counts are normalised, until the likelihood of the training words hardly grows.
+and the expected counts are normalised: a few rounds at most, fewer if the likelihood of the training words hardly grows.
 """
 
 from __future__ import annotations
