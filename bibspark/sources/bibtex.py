@@ -8,11 +8,13 @@ expressions. Record order is ``(src_rank, pos)``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.batches import by_bytes
 from ..functions.clean import DEFAULTS, with_defaults
 from ..functions.text import ascii_fold, strip_blanks
 from ..operators.numbering import with_ref_id
@@ -205,6 +207,7 @@ def _fields(body: str) -> list[tuple[str, str]]:
     return found
 
 
+_PLACE = ["file", "block", "row", "part"]
 _ENTRY = "entry_type string, cite_key string, stray boolean, pairs array<struct<k:string,v:string>>"
 
 
@@ -218,20 +221,30 @@ def parse_entry(piece: str) -> tuple:
     return None, None, None, None
 
 
-def _entry(pieces: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parse_entry(p) for p in pieces], columns=["entry_type", "cite_key", "stray", "pairs"])
+_PAIRS = pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))
+_ARROW = pa.schema([("entry_type", pa.string()), ("cite_key", pa.string()), ("stray", pa.bool_()), ("pairs", _PAIRS)])
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of pieces with their place; some at a time, as each may be long."""
+    for batch in batches:
+        for part in by_bytes(batch, "piece"):
+            found = [parse_entry(p) for p in part.column("piece").to_pylist()]
+            some = [i for i, e in enumerate(found) if e[0] is not None]
+            columns = [pa.array([found[i][k] for i in some], field.type) for k, field in enumerate(_ARROW)]
+            yield pa.RecordBatch.from_arrays([*part.drop_columns(["piece"]).take(pa.array(some, pa.int64())).columns, *columns], [*_PLACE, *_ARROW.names])
 
 
 def _brace_entries(chunks: DataFrame, stray_at: str) -> DataFrame:
     if stray_at not in ("keep", "drop"):
         raise ValueError(f"unknown stray_at {stray_at!r}")
-    place = ["file", "block", "row", "part"]
-    pieces = chunks.select(*place[:3], F.posexplode(F.split("text", _RECORDS)).alias("part", "piece"))
-    entries = pieces.select(*place, F.pandas_udf(_entry, _ENTRY)("piece").alias("e")).filter("e.entry_type IS NOT NULL")
+    pieces = chunks.select(*_PLACE[:3], F.posexplode(F.split("text", _RECORDS)).alias("part", "piece"))
+    places = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in _PLACE)
+    entries = pieces.mapInArrow(_entries, f"{places}, {_ENTRY}")
     if stray_at == "drop":
-        entries = entries.filter("NOT e.stray")
-    values = F.transform("e.pairs", lambda p: ascii_fold(p["v"]))
-    return entries.select(*place, "e.entry_type", "e.cite_key", _last_wins(F.col("e.pairs.k"), values).alias("fields"))
+        entries = entries.filter("NOT stray")
+    values = F.transform("pairs", lambda p: ascii_fold(p["v"]))
+    return entries.select(*_PLACE, "entry_type", "cite_key", _last_wins(F.col("pairs.k"), values).alias("fields"))
 
 
 def _last_wins(keys: Column, values: Column) -> Column:

@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bibspark.operators import stats, unify
@@ -153,3 +154,13 @@ def test_abstract_choice_and_counts(spark):
     assert sorted(r.abstract for r in bibtex.abstracts(entries).collect()) == ["S", "Unknown thing"]
     assert bibtex.abstracts(entries, drop_unknown=True).count() == 1
     assert tuple(bibtex.corpus_counts(entries).first()) == (3, 2)
+
+
+def test_long_records_are_taken_apart_some_at_a_time():
+    """A batch counts rows; what is held of it at a time goes by bytes. Pieces without a record give none."""
+    pieces = [f"@book{{k{i},\n  title = {{{'x' * 400_000}}}\n}}" if i % 4 else "no record" for i in range(12)]
+    rows = [{"file": "f", "block": 0, "row": i, "part": 0, "piece": p} for i, p in enumerate(pieces)]
+    parts = list(bibtex._entries(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert len(parts) > 3 and max(p.num_rows for p in parts) <= 3
+    got = [(r["row"], r["cite_key"], len(r["pairs"][0]["v"])) for p in parts for r in p.to_pylist()]
+    assert got == [(i, f"k{i}", 400_000) for i in range(12) if i % 4]

@@ -1,3 +1,5 @@
+import pyarrow as pa
+
 from bibspark.sources import pages
 
 
@@ -23,3 +25,13 @@ def test_cells_and_nested_lists():
     rows = tree.root.findall("table/tr")
     assert [[pages._text(c) for c in r] for r in rows] == [["1", "2"], ["3\nx\ny"]]
     assert [pages._text(i) for i in tree.root.findall("ul/li")] == ["a\nb", "c"]
+
+
+def test_long_pages_are_taken_apart_some_at_a_time():
+    """A batch counts rows; what is held of it at a time goes by bytes."""
+    rows = [{"url": str(i), "html": springer("<p>" + "x" * 300_000) * 2} for i in range(10)] + [{"url": "null", "html": None}]
+    parts = list(pages._pick("springer")(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert len(parts) > 5 and max(p.num_rows for p in parts) <= 4
+    whole = [r for p in parts for r in p.to_pylist()]
+    assert [(r["url"], r["index"]) for r in whole] == [(str(i), k) for i in range(10) for k in (0, 1)]
+    assert {r["abstract"] for r in whole} == {"x" * 300_000}
