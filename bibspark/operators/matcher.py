@@ -7,7 +7,10 @@ made into an automaton, sent to every task once, and its cost per text does not
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -72,7 +75,56 @@ def match_patterns(
     return reduce(DataFrame.unionByName, found).join(patterns, "synonym").select(id_col, F.inline("terms")).distinct()
 
 
+def _counter(known, match: str):
+    """``at, n``: how many texts hold a pattern of each term; one automaton and one list of counts a task."""
+    whole = match == "word"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        made, found = ahocorasick.Automaton(), Counter()
+        for pattern, terms in known.value.items():
+            made.add_word(pattern, (terms, len(pattern)))
+        made.make_automaton()
+        for batch in batches:
+            for text in batch.column("_text"):
+                text, hits = text.as_py(), set()
+                for end, (terms, size) in made.iter(text) if text and len(made) else ():
+                    if terms not in hits and not (whole and (_in_word(text, end - size) or _in_word(text, end + 1))):
+                        hits.add(terms)
+                found.update(set(chain.from_iterable(hits)))
+        yield pa.record_batch([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], ["at", "n"])
+
+    return count
+
+
 def pattern_freq(docs: DataFrame, taxonomy: DataFrame, match: str = "substring", id_col: str = "doc_id", text_col: str = "abstract") -> DataFrame:
-    """Documents per category and term: ``category, term, freq``."""
-    return match_patterns(docs, taxonomy, match, id_col, text_col).groupBy("category", "term").agg(F.count(F.lit(1)).alias("freq"))
+    """Documents per category and term: ``category, term, freq``; rows with one id are one document.
 
+    A document of one row is counted where it is read. Only those of several rows are matched and compared by their ids.
+    """
+    if match not in MATCHES:
+        raise ValueError(f"unknown match {match!r}")
+    spark = docs.sparkSession
+    several = materialize(docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("_id"), "several")
+    single, freqs = docs, []
+    if not several.isEmpty():
+        same = F.col(id_col).eqNullSafe(F.col("_id"))
+        single = docs.join(several, same, "left_anti")
+        freqs.append(match_patterns(docs.join(several, same, "left_semi"), taxonomy, match, id_col, text_col).groupBy("category", "term").agg(F.count(F.lit(1)).alias("freq")))
+    rows = taxonomy.select("category", "term", F.lower("synonym").alias("synonym")).filter("synonym <> ''").distinct()
+    patterns = materialize(rows, "patterns")
+    blocks = max(1, -(-patterns.count() // BLOCK))
+    texts = single.select(F.lower(F.col(text_col)).alias("_text"))
+    kinds = patterns.select(F.lit(0).alias("at"), "category", "term").schema
+    for k in range(blocks):
+        # the patterns of a term are in one block
+        terms: dict[tuple, int] = {}
+        known: dict[str, tuple[int, ...]] = {}
+        for r in patterns.filter(F.pmod(F.xxhash64("category", "term"), F.lit(blocks)) == k).collect():  # about BLOCK rows
+            known[r.synonym] = (*known.get(r.synonym, ()), terms.setdefault((r.category, r.term), len(terms)))
+        hits = texts.mapInArrow(_counter(spark.sparkContext.broadcast(known), match), "at int, n long").groupBy("at").agg(F.sum("n").alias("freq"))
+        listed = spark.createDataFrame([(at, *term) for term, at in terms.items()], kinds)
+        freqs.append(hits.join(listed, "at").select("category", "term", "freq"))
+    whole = reduce(DataFrame.unionByName, freqs)
+    return whole.groupBy("category", "term").agg(F.sum("freq").alias("freq"))

@@ -45,3 +45,23 @@ def test_large_table(spark):
 def test_unknown_match(spark):
     with pytest.raises(ValueError):
         matcher.match_patterns(spark.createDataFrame(TEXTS, "doc_id long, abstract string"), spark.createDataFrame(TERMS, "category string, term string, synonym string"), "fuzzy")
+
+
+@pytest.mark.parametrize("match", matcher.MATCHES)
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_counts_without_a_row_per_document_and_term(spark, monkeypatch, match, block):
+    """Only documents of several rows are matched one by one; rows with one id, null among them, count once."""
+    monkeypatch.setattr(matcher, "BLOCK", block)
+    found, seen = matcher.match_patterns, []
+
+    def one_by_one(docs, *rest):
+        seen.extend(docs.collect())
+        return found(docs, *rest)
+
+    monkeypatch.setattr(matcher, "match_patterns", one_by_one)
+    texts = [*TEXTS, (2, "sem report"), (None, "code.org"), (None, "code.org sem"), (1, TEXTS[0][1])]
+    docs, table = (spark.createDataFrame(x, f"{c} string") for x, c in ((texts, "doc_id long, abstract"), (TERMS, "category string, term string, synonym")))
+    got = {(r.category, r.term): r.freq for r in matcher.pattern_freq(docs, table, match).collect()}
+    hits = plain(texts, TERMS, match)
+    assert got == {t: sum(h[1:] == t for h in hits) for t in {h[1:] for h in hits}}
+    assert {r.doc_id for r in seen} == {1, 2, None}
