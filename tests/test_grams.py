@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bibspark.operators import grams, tfidf
+from bibspark.operators import grams, similarity, tfidf
 
 DOCS = [["a", "b", "a", "b", "c"], [], ["b"], ["c", "c", "c", "c"], ["a", "b", "c", "d"], ["x", "a", "b", "c"], ["d", "x"], ["a", "b", "a", "b", "c"]]
 
@@ -56,3 +56,23 @@ def test_weights_of_every_order(docs):
     assert keys[0] == keys[7] and len(set(keys.values())) == 6
     only = tfidf.tfidf(docs, tfidf.vocabulary(docs, 100, 1, 1.0, (2, 2))).agg(F.count("*")).first()[0]
     assert only == 6
+
+
+def test_blocks_bring_their_documents_together_once(spark):
+    """No n-gram is a row of its own; the leading terms, ties by term, are those of plain counting."""
+    rng = np.random.default_rng(3)
+    lists = [[f"w{x}" for x in rng.integers(0, 12, rng.integers(0, 9))] for _ in range(45)]
+    docs = spark.createDataFrame([*enumerate(lists), (None, ["w1"])], "doc_id long, tokens array<string>").repartition(3)
+    found = similarity.blocked_pairs(docs, 20, 0.0, 40)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Generate") == 0
+    got = {(r.block, r.i, r.j): r.sim for r in found.collect()}
+    expected = {}
+    for b in range(3):
+        own = lists[20 * b : 20 * b + 20]
+        grams_of = [Counter(" ".join(d[i : i + n]) for n in (1, 2, 3) for i in range(len(d) - n + 1)) for d in own]
+        cf = sum(grams_of, Counter())
+        kept = sorted(cf, key=lambda t: (-cf[t], t))[:40]
+        m = np.array([[c[t] * (np.log((1 + len(own)) / (1 + sum(t in x for x in grams_of))) + 1) for t in kept] for c in grams_of])
+        m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+        expected |= {(b, 20 * b + i, 20 * b + j): (m @ m.T)[i, j] for i in range(len(own)) for j in range(i + 1, len(own)) if (m @ m.T)[i, j] > 0}
+    assert set(got) == set(expected) and all(abs(got[k] - expected[k]) < 1e-12 for k in got)
