@@ -8,11 +8,14 @@ in few elements.
   which linked sets of a size class may differ. A list is addressed by size class, block and the digest of the
   block's elements. Linked sets agree in a whole block, so all lists of other positions or other contents are
   skipped before they are read.
-* **Answers from a similar set's answers.** Each list has one lead set. A member's difference from its lead is
-  computed once. The difference of two members follows from those two (``x ^ y = dx ^ dy`` with ``dx = x ^ lead``), so
-  their sets are not read again. Members outside the largest component of a lead's members are open; some are picked
-  as further leads, each compared with all members, which joins most of what can be joined; those still open are
-  counted against all members on the short differences, block by block.
+* **Answers from a similar set's answers.** Each list has one lead set. The difference of two members follows from
+  their differences from the lead (``x ^ y = dx ^ dy`` with ``dx = x ^ lead``), so their sets are not read again.
+  Members outside the largest component of a lead's members are open. Where they are many, some are picked as further
+  leads, each compared with all members, which joins most of what can be joined; those still open are counted against
+  the other members, block by block.
+* **Sketches before sets.** A sketch holds the parities of a set's elements by bucket, two to four bits an element. Two
+  sets differ in at least as many elements as their sketches in bits, so most pairs are known to be apart before any
+  element is sent; sets are only cut for the pairs that are left.
 
 Equal sets are one node. A picked lead writes a row a member at most, and two blocks a spanning forest of their
 components, so a group of m copies costs about m rows; no link between different sets is lost, as every pair in a common
@@ -127,6 +130,27 @@ def set_id(elements: np.ndarray) -> int:
     return int(both.view(np.int64)[0])
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """The parities of a set by bucket, as bytes; as many buckets as the power of two from twice its size on, 64 at least."""
+    buckets = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    at = (mix(elements) & np.uint64(buckets - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=buckets).astype(np.uint8) & 1)
+
+
+def folded(parities: np.ndarray, size: int) -> np.ndarray:
+    """Sketches, one a row or a single one, of ``size`` bytes and no more: half as many buckets are the sum of both halves."""
+    while parities.shape[-1] > size:
+        half = parities.shape[-1] // 2
+        parities = parities[..., :half] ^ parities[..., half:]
+    return parities
+
+
+def least_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """In so many elements at least two sets differ, by their sketches."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+
+
 def text_key() -> Column:
     """A name of the text that is never null: with it a row is told from others of the same or no ``doc_id``."""
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -148,7 +172,10 @@ def with_owners(docs: DataFrame, owners: DataFrame, how: str) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, key, n_shingles, set_id, lists array<long>``; an empty set has a null name and no lists."""
+    """``doc_id, key, n_shingles, set_id, sketch binary, lists array<long>``; an empty set has a null name and no lists.
+
+    Sets without lists have no sketch.
+    """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,14 +189,15 @@ def _sets_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                     lists.append(list_keys(s, percent).view(np.int64) if own is not None and own not in seen else np.zeros(0, np.int64))
                     seen.add(own)
                 bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
+                sketches = pa.array([sketch(s).tobytes() if len(x) else None for s, x in zip(sets, lists)], pa.binary())
                 flat = pa.array(np.concatenate(lists), pa.int64())
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), flat)],
-                    ["doc_id", "key", "n_shingles", "set_id", "lists"],
+                    [part.column("doc_id"), part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), sketches, pa.ListArray.from_arrays(pa.array(bounds), flat)],
+                    ["doc_id", "key", "n_shingles", "set_id", "sketch", "lists"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _keyed(docs).mapInArrow(name, f"doc_id {kind}, key long, n_shingles long, set_id long, lists array<long>")
+    return _keyed(docs).mapInArrow(name, f"doc_id {kind}, key long, n_shingles long, set_id long, sketch binary, lists array<long>")
 
 
 def _maybe_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -275,63 +303,95 @@ def _block_links(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return links
 
 
-def _lead_links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Links between the members of a lead and one of them that was picked."""
+def _maybe_linked(pairs: DataFrame, percent: int) -> DataFrame:
+    """``lead, member`` of the pairs (``lead, member, n_lead, n_member, lead_sketch, sketch``) that their sketches leave open."""
+    per, each = _per_difference(percent)
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        per, each = _per_difference(percent)
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, MEMBERS) for b in batches for i in range(0, b.num_rows, MEMBERS)):
-            picked, member = (batch.column(c).to_pylist() for c in ("picked_diff", "diff"))
-            total = batch.column("n_picked").to_numpy() + batch.column("n_member").to_numpy()
-            apart = [len(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(picked, member)]
-            near = pa.array(per * np.array(apart, np.int64) <= each * total)
-            yield pa.record_batch([batch.column("picked_component"), batch.column("component")], ["a", "b"]).filter(near)
+            sides = ([np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()] for c in ("lead_sketch", "sketch"))
+            apart = np.array([least_apart(x, y) for x, y in zip(*sides)], np.int64)
+            total = batch.column("n_lead").to_numpy() + batch.column("n_member").to_numpy()
+            yield batch.select(["lead", "member"]).filter(pa.array(per * apart <= each * total))
 
-    return links
+    return pairs.select("lead", "member", "n_lead", "n_member", "lead_sketch", "sketch").mapInArrow(near, "lead long, member long")
+
+
+def _maybe_in_blocks(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """``lead, member`` of the members in two blocks that may be linked with one of another component, by their sketches."""
+    per, each = _per_difference(percent)
+
+    def found(rows: pd.DataFrame) -> pd.DataFrame:
+        size = min(map(len, rows["sketch"]))
+        parities = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in rows["sketch"]]).view(np.uint64)
+        component, n = rows["component"].to_numpy(), rows["n_member"].to_numpy()
+        own, others = (np.flatnonzero(rows["open_side"] == side) for side in (True, False))
+        hit = np.zeros(len(rows), bool)
+        for at in own:
+            apart = np.bitwise_count(parities[others] ^ parities[at]).sum(axis=1, dtype=np.int64)
+            near = others[(per * apart <= each * (n[others] + n[at])) & (component[others] != component[at])]
+            hit[near] = True
+            hit[at] = len(near) > 0
+        return rows.loc[hit, ["lead", "member"]]
+
+    return found
 
 
 def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs of the leads that are not in one component with all their members."""
+    """The pairs whose sets are not in one component."""
     own = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part"))
     placed = pairs.join(own("member"), "member", "left").join(own("lead"), "lead", "left")
     apart = F.coalesce("member_part", "member") != F.coalesce("lead_part", "lead")
-    return pairs.join(placed.where(apart).select("lead").distinct(), "lead", "left_semi")
+    return placed.where(apart).select("lead", "member")
 
 
-def _placed(compared: DataFrame, parts: DataFrame) -> DataFrame:
+def _placed(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members with their components, of the leads whose members are in several. ``open``: not in the largest one."""
     own = parts.select(F.col("node").alias("member"), "component")
-    rows = compared.join(own, "member", "left").select("lead", "member", "n_member", "diff", F.coalesce("component", "member").alias("component"))
+    rows = members.join(own, "member", "left").withColumn("component", F.coalesce("component", "member"))
     shares = rows.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("n"))
     main = shares.groupBy("lead").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
     main = main.select("lead", "n", F.col("main.component").alias("main"), (F.col("n") - F.col("main.n")).alias("n_open")).where("n_open > 0")
     return rows.join(main, "lead").withColumn("open", F.col("component") != F.col("main")).drop("main")
 
 
-def _picked_links(rows: DataFrame, percent: int, turn: int) -> DataFrame:
-    """``a, b``: components linked by a member that is picked for each lead from the open ones; a row a member at most."""
+def _picked(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a member that is picked for each lead from the open ones with the lead's members of other components."""
     chance = F.struct(F.xxhash64("member", F.lit(turn)), "member")
     picked = rows.where("open").groupBy("lead").agg(F.min(chance).getField("member").alias("member")).join(rows, ["lead", "member"])
-    picked = picked.select("lead", F.col("n_member").alias("n_picked"), F.col("diff").alias("picked_diff"), F.col("component").alias("picked_component"))
-    pairs = rows.join(picked, "lead").where("component <> picked_component")
-    return pairs.select("picked_component", "component", "n_picked", "n_member", "picked_diff", "diff").mapInArrow(_lead_links(percent), "a long, b long").distinct()
+    picked = picked.select(
+        F.col("lead").alias("of"), F.col("member").alias("lead"), F.col("n_member").alias("n_lead"), F.col("sketch").alias("lead_sketch"), F.col("component").alias("lead_part")
+    )
+    pairs = rows.withColumnRenamed("lead", "of").join(picked, "of").where("component <> lead_part")
+    return pairs.select("lead", "member", "n_lead", "n_member", "lead_sketch", "sketch")
 
 
-def _member_links(rows: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: components linked by two members of one lead, counted on their differences from it.
+def _block_pairs(rows: DataFrame, column: str) -> DataFrame:
+    """Every open member with every member of its lead, in pairs of blocks: ``lead, open_block, member_block``.
 
-    Every open member meets every member of another component. Open members and all members of a lead are dealt into
-    blocks, so a task holds two blocks at a time; members are copied once for each block of open ones.
+    Open members and all members of a lead are dealt into blocks, so a task holds two blocks at a time; members are
+    copied once for each block of open ones.
     """
     rows = rows.withColumn("open_blocks", F.ceil(F.col("n_open") / MEMBERS)).withColumn("blocks", F.ceil(F.col("n") / MEMBERS))
     own = lambda name: F.pmod(F.xxhash64("member"), F.col(name))
     every = lambda name: F.explode(F.sequence(F.lit(0).cast("long"), F.col(name) - 1))
-    columns = ["lead", "n_member", "diff", "component"]
+    columns = ["lead", "member", "n_member", column, "component"]
     right = rows.select(*columns, every("open_blocks").alias("open_block"), own("blocks").alias("member_block"), F.lit(False).alias("open_side"))
     left = rows.where("open").select(*columns, own("open_blocks").alias("open_block"), every("blocks").alias("member_block"), F.lit(True).alias("open_side"))
     # rows are dealt by lead here; deal them by block pair, or all blocks of a large lead would meet in one task
-    blocks = left.union(right).repartition("lead", "open_block", "member_block")
-    return blocks.groupBy("lead", "open_block", "member_block").applyInPandas(_block_links(percent), "a long, b long").distinct()
+    return left.union(right).repartition("lead", "open_block", "member_block")
+
+
+def _maybe_members(rows: DataFrame, percent: int) -> DataFrame:
+    """``lead, member``: members that by their sketches may be linked with one of another component of the same lead."""
+    blocks = _block_pairs(rows, "sketch").groupBy("lead", "open_block", "member_block")
+    return blocks.applyInPandas(_maybe_in_blocks(percent), "lead long, member long").distinct()
+
+
+def _member_links(rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: components linked by two members of one lead, counted on their differences from it."""
+    blocks = _block_pairs(rows, "diff").groupBy("lead", "open_block", "member_block")
+    return blocks.applyInPandas(_block_links(percent), "a long, b long").distinct()
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,42 +456,62 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
     named = sets.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(first_owner().alias("owner"))
     pairs = _lead_pairs(listed, stages)
     stages.release()
-    wanted = pairs.select(F.col("lead").alias("set_id")).union(pairs.select(F.col("member").alias("set_id"))).distinct()
-    elements = stages.keep(_elements(docs, named.join(wanted, "set_id").select("set_id", "owner.doc_id", "owner.key"), shingle), "elements")
+    ends = lambda some: some.select(F.col("lead").alias("set_id")).union(some.select(F.col("member").alias("set_id"))).distinct()
+    known = sets.where("sketch IS NOT NULL").select("set_id", F.col("n_shingles").alias("n"), "sketch")
+    known = stages.keep(known.join(ends(pairs), "set_id", "left_semi").dropDuplicates(["set_id"]), "sketches")
+    member = known.select(F.col("set_id").alias("member"), F.col("n").alias("n_member"), "sketch")
+    lead = known.select(F.col("set_id").alias("lead"), F.col("n").alias("n_lead"), F.col("sketch").alias("lead_sketch"))
+    maybe = stages.keep(_maybe_linked(pairs.join(member, "member").join(lead, "lead"), percent), "maybe")
     stages.release()
     per, each = _per_difference(percent)
 
-    def compare(some: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """The differences of pairs, and the links among them."""
-        lead = elements.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements"))
-        both = some.join(elements.withColumnRenamed("set_id", "member"), "member").join(lead, "lead")
-        found = stages.keep(_compare(both), name)
+    def elements(some: DataFrame, name: str) -> DataFrame:
+        """The sets of pairs."""
+        cut = stages.keep(_elements(docs, named.join(ends(some), "set_id").select("set_id", "owner.doc_id", "owner.key"), shingle), name)
         stages.release()
+        return cut
+
+    def compare(some: DataFrame, cut: DataFrame) -> DataFrame:
+        """The differences of pairs."""
+        of_lead = cut.select(F.col("set_id").alias("lead"), F.col("elements").alias("lead_elements"))
+        return _compare(some.join(cut.withColumnRenamed("set_id", "member"), "member").join(of_lead, "lead"))
+
+    def joined(parts: DataFrame | None, some: DataFrame, cut: DataFrame, name: str) -> DataFrame:
+        """The components with the links among some pairs."""
         near = per * F.length("diff") / 8 <= each * (F.col("n_lead") + F.col("n_member"))
-        return found, found.where(near).select(F.col("lead").alias("a"), F.col("member").alias("b"))
-
-    edges = lambda parts: parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    # one lead a member first; then the leads whose sets are not all in one component
-    _, links = compare(pairs.groupBy("member").agg(F.min("lead").alias("lead")), "nearest")
-    parts = stages.keep(components(links, stages, "nearest-parts"), "parts-n")
-    stages.drop("nearest")
-    compared, links = compare(_apart(pairs, parts), "compared")
-    stages.drop("pairs", "elements")
-    parts = stages.keep(components(edges(parts).union(links), stages, "linked"), "parts-0")
-    stages.release()
-    for turn in range(1, TURNS + 2):
-        rows = stages.keep(_placed(compared, parts), f"rows-{turn}")
-        if rows.isEmpty():
+        links = stages.keep(compare(some, cut).where(near).select(F.col("lead").alias("a"), F.col("member").alias("b")), f"links-{name}")
+        stages.release()
+        return grown(parts, links, name)
+
+    def grown(parts: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
+        every = links if parts is None else parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)
+        return stages.keep(components(every, stages, f"steps-{name}"), f"parts-{name}")
+
+    # one lead a member first; then the pairs that are not in one component by that
+    cut = elements(maybe, "elements")
+    parts = joined(None, maybe.groupBy("member").agg(F.min("lead").alias("lead")), cut, "nearest")
+    parts = joined(parts, _apart(maybe, parts), cut, "leads")
+    stages.drop("maybe", "elements")
+    members = pairs.join(member, "member")
+    for turn in range(1, TURNS + 1):
+        # a few open members meet the others in one block below
+        rows = stages.keep(_placed(members, parts).where(F.col("n_open") > MEMBERS), f"rows-{turn}")
+        some = stages.keep(_maybe_linked(_picked(rows, turn), percent).distinct(), f"picked-{turn}")
+        if some.isEmpty():
             break
-        more = _picked_links(rows, percent, turn) if turn <= TURNS else _member_links(rows, percent)
-        parts = stages.keep(components(edges(parts).union(stages.keep(more, f"more-{turn}")), stages, f"turn-{turn}"), f"parts-{turn}")
-        stages.drop(f"rows-{turn}", f"more-{turn}", f"parts-{turn - 1}")
+        parts = joined(parts, some, elements(some, f"elements-{turn}"), f"turn-{turn}")
+        stages.drop(f"rows-{turn}", f"picked-{turn}", f"elements-{turn}")
+    open_members = stages.keep(_maybe_members(_placed(members, parts), percent), "open")
+    stages.release()
+    if not open_members.isEmpty():
+        compared = stages.keep(compare(open_members, elements(open_members, "elements-open")), "compared")
         stages.release()
-    stages.drop("compared")
-    joined = parts
-    owned = named.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left")
+        links = stages.keep(_member_links(_placed(compared, parts), percent), "links-open")
+        parts = grown(parts, links, "open")
+    stages.drop("open", "elements-open", "compared", "pairs", "sketches")
+    owned = named.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
     classes = stages.keep(owned.select("set_id", "owner", F.coalesce("component", "set_id").alias("component")), "classes")
-    return sets, classes
+    return sets.drop("sketch"), classes
 
 
 def ngram_jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

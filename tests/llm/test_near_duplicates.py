@@ -133,3 +133,35 @@ def test_leads_of_lists_over_several_ranges(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_sketches_never_tell_more_than_the_difference():
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 60, 700, 5000):
+        x = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        for changed in (0, 1, n // 9, n):
+            y = np.unique(np.concatenate((x[changed // 2 :], rng.integers(0, 1 << 64, changed, np.uint64))))
+            if len(y):
+                apart = ngram_join.least_apart(ngram_join.sketch(x), ngram_join.sketch(y))
+                assert apart <= len(np.setxor1d(x, y))
+                # most pairs that are far apart must be known to be so
+                assert changed < n or n < 60 or 9 * apart > len(x) + len(y)
+
+
+def test_sets_that_are_far_apart_are_not_cut(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"b{rng.randrange(5000)}" for _ in range(400)]
+    # half of each text is common: they meet in lists, and none are linked
+    texts = [" ".join(base[:200] + [f"n{k}x{i}" for i in range(200)]) for k in range(40)]
+    texts += [" ".join(base), " ".join(base[:-1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], COLUMNS)
+    cut, elements = [], ngram_join._elements
+
+    def counted(docs, wanted, shingle):
+        cut.append(wanted.count())
+        return elements(docs, wanted, shingle)
+
+    monkeypatch.setattr(ngram_join, "_elements", counted)
+    found = ngram_join.ngram_jaccard_join(docs, 5, 80).collect()
+    assert {r.doc_id: r.component_id for r in found} == {**{i: i for i in range(42)}, 41: 40}
+    assert sum(cut) <= 4
