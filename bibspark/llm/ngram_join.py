@@ -337,18 +337,13 @@ def _maybe_in_blocks(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return found
 
 
-def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose sets are not in one component."""
-    own = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part"))
-    placed = pairs.join(own("member"), "member", "left").join(own("lead"), "lead", "left")
-    apart = F.coalesce("member_part", "member") != F.coalesce("lead_part", "lead")
-    return placed.where(apart).select("lead", "member")
+def _placed(members: DataFrame, parts: DataFrame, column: str) -> DataFrame:
+    """Members (``lead, member, n_member`` and ``column``) with their components, of the leads whose members are in several.
 
-
-def _placed(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Members with their components, of the leads whose members are in several. ``open``: not in the largest one."""
+    ``open``: not in the largest one. Components only grow, so rows that were placed before can be placed anew.
+    """
     own = parts.select(F.col("node").alias("member"), "component")
-    rows = members.join(own, "member", "left").withColumn("component", F.coalesce("component", "member"))
+    rows = members.select("lead", "member", "n_member", column).join(own, "member", "left").withColumn("component", F.coalesce("component", "member"))
     shares = rows.groupBy("lead", "component").agg(F.count(F.lit(1)).alias("n"))
     main = shares.groupBy("lead").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
     main = main.select("lead", "n", F.col("main.component").alias("main"), (F.col("n") - F.col("main.n")).alias("n_open")).where("n_open > 0")
@@ -487,28 +482,26 @@ def near_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -
         every = links if parts is None else parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)
         return stages.keep(components(every, stages, f"steps-{name}"), f"parts-{name}")
 
-    # one lead a member first; then the pairs that are not in one component by that
-    cut = elements(maybe, "elements")
-    parts = joined(None, maybe.groupBy("member").agg(F.min("lead").alias("lead")), cut, "nearest")
-    parts = joined(parts, _apart(maybe, parts), cut, "leads")
+    parts = joined(None, maybe, elements(maybe, "elements"), "leads")
     stages.drop("maybe", "elements")
-    members = pairs.join(member, "member")
+    rows = stages.keep(_placed(pairs.join(member, "member"), parts, "sketch"), "rows-0")
+    stages.drop("pairs", "sketches")
     for turn in range(1, TURNS + 1):
         # a few open members meet the others in one block below
-        rows = stages.keep(_placed(members, parts).where(F.col("n_open") > MEMBERS), f"rows-{turn}")
-        some = stages.keep(_maybe_linked(_picked(rows, turn), percent).distinct(), f"picked-{turn}")
+        some = stages.keep(_maybe_linked(_picked(rows.where(F.col("n_open") > MEMBERS), turn), percent).distinct(), f"picked-{turn}")
         if some.isEmpty():
             break
         parts = joined(parts, some, elements(some, f"elements-{turn}"), f"turn-{turn}")
-        stages.drop(f"rows-{turn}", f"picked-{turn}", f"elements-{turn}")
-    open_members = stages.keep(_maybe_members(_placed(members, parts), percent), "open")
+        rows = stages.keep(_placed(rows, parts, "sketch"), f"rows-{turn}")
+        stages.drop(f"rows-{turn - 1}", f"picked-{turn}", f"elements-{turn}")
+    open_members = stages.keep(_maybe_members(rows, percent), "open")
     stages.release()
     if not open_members.isEmpty():
         compared = stages.keep(compare(open_members, elements(open_members, "elements-open")), "compared")
         stages.release()
-        links = stages.keep(_member_links(_placed(compared, parts), percent), "links-open")
+        links = stages.keep(_member_links(_placed(compared, parts, "diff"), percent), "links-open")
         parts = grown(parts, links, "open")
-    stages.drop("open", "elements-open", "compared", "pairs", "sketches")
+    stages.drop("open", "elements-open", "compared", *(f"rows-{turn}" for turn in range(TURNS + 1)))
     owned = named.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
     classes = stages.keep(owned.select("set_id", "owner", F.coalesce("component", "set_id").alias("component")), "classes")
     return sets.drop("sketch"), classes
