@@ -31,6 +31,12 @@ def test_pairs_are_not_joined_for_their_counts(spark):
     assert sorted((r.i, r.j, r.n_i, r.n_j, round(r.sim, 6)) for r in found.collect()) == [(0, 0, 3, 3, 1.0), (0, 9, 3, 1, 0.8), (1, 1, 2, 2, 1.0), (2, 2, 2, 2, 1.0)]
 
 
+def test_pairs_of_repeated_ids(spark):
+    rows = [(0, Vectors.sparse(3, [(0, 1.0)]))] * 2 + [(1, Vectors.sparse(3, [(0, 0.8), (1, 0.6)]))]
+    found = similarity.cosine_pairs(spark.createDataFrame(rows, ["doc_id", "features"]), 0.5)
+    assert sorted((r.i, r.j, r.n_i, r.n_j) for r in found.collect()) == [(0, 0, 2, 2)] * 2 + [(0, 1, 2, 1)] * 4
+
+
 def test_one_merge_at_a_time(spark, monkeypatch, method="complete"):
     """Clusters wider than a cell: rounds without a merge, then one merge, after which nothing may be lost."""
     for module, name, value in ((tiles, "TILE", 8), (tiles, "LEAST", 8), (linkage, "CELL", 3)):
